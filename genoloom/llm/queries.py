@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import table
-from . import components, pairs, topn
+from . import bpe, components, packing, pairs, topn
 
 def gene() -> Column:
     """Human genes without blanks at the ends, in upper case."""
@@ -45,6 +45,20 @@ def p5_found(spark: SparkSession, base: str) -> DataFrame:
     return out.withColumnRenamed("member", "gene_id")
 
 
+def p6_ids(spark: SparkSession, base: str) -> DataFrame:
+    return bpe.encode(table(spark, base, "documents"), "doc_id", "text")
+
+
+def p7_packed(spark: SparkSession, base: str) -> DataFrame:
+    return packing.pack(table(spark, base, "documents"), "doc_id", "text", 2048)
+
+
+def p7_use(spark: SparkSession, base: str) -> DataFrame:
+    packed = p7_packed(spark, base).groupBy("container").agg(F.sum("tokens").alias("tokens"))
+    total = packed.agg(F.count(F.lit(1)).alias("n_containers"), F.sum("tokens").alias("n_tokens"), F.max("tokens").alias("most"))
+    return total.withColumn("unused_share", F.round(1 - F.try_divide(F.col("n_tokens"), F.col("n_containers") * 2048), 6))
+
+
 _PAIRS = """
 with cell as (select distinct conserved_id b, upper(trim(human_gene, ' ')) g from homology_summary
     where conserved_id is not null and human_gene is not null and upper(trim(human_gene, ' ')) not in ('NO HIT', 'UNKNOWN')),
@@ -72,7 +86,7 @@ reach(gene_id, seen) using key (gene_id) as (
 select gene_id, seen group_id from reach
 """
 
-QUERIES = {"p3_found": p3_found, "p3_lift": p3_lift, "p4_found": p4_found, "p4_ranked": p4_ranked, "p5_found": p5_found}
+QUERIES = {"p3_found": p3_found, "p3_lift": p3_lift, "p4_found": p4_found, "p4_ranked": p4_ranked, "p5_found": p5_found, "p6_ids": p6_ids, "p7_packed": p7_packed, "p7_use": p7_use}
 SQL = {
     "p3_found": _PAIRS + "select gene_a, gene_b from pair where n_ab * n >= 4 * n_a * n_b",
     "p3_lift": _PAIRS + "select gene_a, gene_b, n_ab, n_a, n_b, round(n_ab / (n_a * n_b / n), 6) lift from pair",
