@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import table
-from . import bpe, components, packing, pairs, topn
+from . import bpe, components, packing, pairs, topn, truncation
 
 def gene() -> Column:
     """Human genes without blanks at the ends, in upper case."""
@@ -59,6 +59,19 @@ def p7_use(spark: SparkSession, base: str) -> DataFrame:
     return total.withColumn("unused_share", F.round(1 - F.try_divide(F.col("n_tokens"), F.col("n_containers") * 2048), 6))
 
 
+def cut_texts(spark: SparkSession, base: str) -> DataFrame:
+    return truncation.truncated(table(spark, base, "documents"), "doc_id", "text", "lang", "source")
+
+
+def p8_found(spark: SparkSession, base: str) -> DataFrame:
+    return cut_texts(spark, base).where("p > 0.5").select("doc_id")
+
+
+def p8_sources(spark: SparkSession, base: str) -> DataFrame:
+    by_source = cut_texts(spark, base).groupBy("source").agg(F.count(F.lit(1)).alias("n_texts"), F.count_if(F.col("p") > 0.5).alias("n_cut"))
+    return by_source.withColumn("cut_share", F.round(F.col("n_cut") / F.col("n_texts"), 6))
+
+
 _PAIRS = """
 with cell as (select distinct conserved_id b, upper(trim(human_gene, ' ')) g from homology_summary
     where conserved_id is not null and human_gene is not null and upper(trim(human_gene, ' ')) not in ('NO HIT', 'UNKNOWN')),
@@ -86,7 +99,7 @@ reach(gene_id, seen) using key (gene_id) as (
 select gene_id, seen group_id from reach
 """
 
-QUERIES = {"p3_found": p3_found, "p3_lift": p3_lift, "p4_found": p4_found, "p4_ranked": p4_ranked, "p5_found": p5_found, "p6_ids": p6_ids, "p7_packed": p7_packed, "p7_use": p7_use}
+QUERIES = {"p3_found": p3_found, "p3_lift": p3_lift, "p4_found": p4_found, "p4_ranked": p4_ranked, "p5_found": p5_found, "p6_ids": p6_ids, "p7_packed": p7_packed, "p7_use": p7_use, "p8_found": p8_found, "p8_sources": p8_sources}
 SQL = {
     "p3_found": _PAIRS + "select gene_a, gene_b from pair where n_ab * n >= 4 * n_a * n_b",
     "p3_lift": _PAIRS + "select gene_a, gene_b, n_ab, n_a, n_b, round(n_ab / (n_a * n_b / n), 6) lift from pair",

@@ -51,23 +51,34 @@ QUOTED = {
     "json": _DOUBLE,
     "markdown": r"(?:(?<=\n)|^)```[^\n]*",
 }
-#: Bytes standing for the inside of strings and comments, an ellipsis and a fence.
-STRING, COMMENT, ELLIPSIS, FENCE = 1, 2, 4, 5
+#: Bytes standing for the inside of strings, line comments and open block comments, an ellipsis, a fence, and a ruled line in a comment.
+STRING, COMMENT, BLOCK, ELLIPSIS, FENCE, RULE = 1, 2, 3, 4, 5, 6
+_SYMBOLS = (STRING, COMMENT, BLOCK, ELLIPSIS, FENCE, RULE)
+# Full stops of other scripts.
+STOPS = {0x3002: ord("."), 0xFF0E: ord("."), 0xFF01: ord("!"), 0xFF1F: ord("?"), 0x0964: ord("."), 0x2026: ELLIPSIS}
+RULED = np.frombuffer(b"-=*~_", np.uint8)
 #: Characters from the start of a text that count as near it.
 NEAR = 24
 #: Sizes of the context's parts: depth (3: near the start), last, second and third character, line's first word.
 DEPTHS, LAST, SECOND, THIRD, WORDS = 4, 64, 16, 8, 64
 BINS = DEPTHS * LAST * SECOND * THIRD * WORDS
+#: Lengths of contexts.
+LEVELS = 5
+#: Kind of the texts, and of the positions in all texts, of at most NEAR characters; what is stripped to find blank texts.
+TINY, BLANK = "tiny", "\ufeff\u200b \t\r\n\x0b\x0c"
 #: Weight of the shorter context, in positions.
 KAPPA = 200.0
-_ADDED = re.compile(r"[ \t]*(?:\[(?:…|\.\.\.)\]|…)\Z|(?<=[^\s.])\.\.\.\Z")
+#: A mark of omission stands within so many last characters.
+TAIL = 64
+_ADDED = re.compile(r"[ \t]*(?:\[(?:…|\.\.\.)\]|…)\Z|(?<=[^\s.])\.\.\.\Z|\ufffd+\Z")
 _SPACED = re.compile(r"[ \t]*\.\.\.\Z")
 
 
 @lru_cache(1)
-def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Codes of a byte as last, second and third character, and its change of depth."""
-    last, second, third, depth = (np.zeros(256, np.int32) for _ in range(4))
+def tables() -> tuple[np.ndarray, ...]:
+    """By byte: its part of the code as last, second and third character, its change of depth, whether it is no blank, no line end, a rule."""
+    last, second, third = (np.zeros(256, np.int32) for _ in range(3))
+    depth = np.zeros(256, np.int8)
     punctuation = [b for b in range(33, 127) if not chr(b).isalnum()]
     for b in range(256):
         c = chr(b)
@@ -79,14 +90,16 @@ def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
             last[b], second[b], third[b] = 10, 3, 3
         elif c in "\r\n":
             last[b], second[b], third[b] = 11, 4, 4
-        elif b in (STRING, COMMENT, ELLIPSIS, FENCE):
-            last[b], second[b], third[b] = 11 + (STRING, COMMENT, ELLIPSIS, FENCE).index(b) + 1, 5, 5
+        elif b in _SYMBOLS:
+            last[b], second[b], third[b] = 1 + _SYMBOLS.index(b), 5, 5
         elif b in punctuation:
             last[b] = 16 + punctuation.index(b)
             second[b], third[b] = next(((k, 6) for k, s in enumerate((")]}", "([{", ";", ".!?", ",", ":", "\"'`", "=<>", "-_"), 6) if c in s), (15, 7))
     for a, b in ("()", "[]", "{}"):
         depth[ord(a)], depth[ord(b)] = 1, -1
-    return last, second, third, depth
+    every = np.arange(256)
+    solid, counted, ruled = ~np.isin(every, (9, 32)), ~np.isin(every, (10, 13)), np.isin(every, RULED)
+    return last * (SECOND * THIRD * WORDS), second * (THIRD * WORDS), third * WORDS, depth, solid, counted, ruled
 
 
 def language(text: str, lang: str | None) -> str:
@@ -103,8 +116,10 @@ def masked(text: str, kind: str) -> np.ndarray:
     out = np.frombuffer(text.encode("ascii", "replace"), np.uint8).copy()
     if not text.isascii():
         chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        out[chars >= 128] = 128
-        out[chars == 0x2026] = ELLIPSIS
+        wide = np.flatnonzero(chars >= 128)
+        out[wide] = 128
+        for c, b in STOPS.items():
+            out[wide[chars[wide] == c]] = b
     pattern = _compiled(kind)
     if pattern is not None:
         spans = np.array([m.span() for m in pattern.finditer(text)], np.int64).reshape(-1, 2)
@@ -115,12 +130,15 @@ def masked(text: str, kind: str) -> np.ndarray:
             closed = quote & (last == first) & (end - begin > 1)
             fence = first == 96 if kind == "markdown" else np.zeros(len(spans), bool)
             fill = np.where(fence, FENCE, np.where(quote, STRING, COMMENT)).astype(np.uint8)
-            # Block comments that are closed end in "*/" and are passed over as white space.
-            done = ~quote & ~fence & (first == 47) & (last == 47) & (out[np.maximum(end - 2, 0)] == 42)
-            fill[done] = 32
+            block = (first == 47) & (out[np.minimum(begin + 1, len(out) - 1)] == 42)
+            fill[block] = BLOCK
+            done = block & (last == 47) & (out[np.maximum(end - 2, 0)] == 42) & (end - begin > 3)
             size = end - begin
             where = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            out[where] = np.repeat(fill, size)
+            filled = np.repeat(fill, size)
+            filled[(filled == COMMENT) & tables()[6][out[where]]] = RULE
+            out[where] = filled
+            out[end[done] - 1] = out[end[done] - 2] = 32  # a closed comment is like white space
             out[begin[quote & ~fence]] = first[quote & ~fence]
             out[end[closed & ~fence] - 1] = first[closed & ~fence]
     return out
@@ -133,135 +151,167 @@ def _compiled(kind: str):
 
 def contexts(b: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray]:
     """(code of the context before each position 1..n, which of them count); line ends count once, before them."""
-    last, second, third, change = tables()
+    last, second, third, change, is_solid, counted, _ = tables()
     n = len(b)
-    padded = np.concatenate([np.zeros(2, np.uint8), b])
     if kind == "markdown":
-        line_start = np.concatenate([[True], b[:-1] == 10])
-        depth = np.cumsum((b == FENCE) & line_start) % 2
+        depth = np.cumsum((b == FENCE) & np.concatenate([[True], b[:-1] == 10]), dtype=np.int32) % 2
     elif kind == "text":
-        depth = np.zeros(n, np.int64)
+        depth = np.zeros(n, np.int32)
     else:
-        depth = np.clip(np.cumsum(change[b]), 0, 2)
+        depth = np.clip(np.cumsum(change[b], dtype=np.int32), 0, 2)
     depth[:NEAR] = 3
     starts = np.concatenate([[0], np.flatnonzero(b[:-1] == 10) + 1])
     sizes = np.diff(np.append(starts, n))
     # The first word of each line: up to 6 letters, or the first other character.
-    white = (b == 32) | (b == 9)
-    solid = np.flatnonzero(~white)
+    solid = np.flatnonzero(is_solid[b])
     at = np.minimum(solid[np.minimum(np.searchsorted(solid, starts), max(len(solid) - 1, 0))], n - 1) if len(solid) else starts
     at = np.where(at < starts, starts, at)
     at = np.minimum(at, starts + sizes - 1)
-    code, letters = b[at].astype(np.int64), np.ones(len(at), bool)
+    code, letters, size = b[at].astype(np.int64), np.ones(len(at), bool), np.zeros(len(at), np.int64)
     tail = np.concatenate([b, np.zeros(8, np.uint8)])
     for k in range(6):
         c = tail[at + k]
         letters &= ((c | 32) >= 97) & ((c | 32) <= 122)
         code = np.where(letters, (code * 31 + c + k) % 65_521, code)
-    word = np.repeat((code % (WORDS // 2)) * 2 + (at > starts), sizes)
-    out = (((depth * LAST + last[b]) * SECOND + second[padded[1:-1]]) * THIRD + third[padded[:-2]]) * WORDS + word
-    return out, (b != 10) & (b != 13)
+        size += letters
+    word = ((1 + code % (WORDS // 2 - 1)) * 2 + (at > starts)).astype(np.int32)
+    out = depth * (LAST * SECOND * THIRD * WORDS)
+    out += last[b]
+    out[1:] += second[b[:-1]]
+    out[2:] += third[b[:-2]]
+    out += np.repeat(word, sizes)
+    # Inside that word, which a cut would have ended, it isn't known yet.
+    inside = np.repeat(at - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    out[inside] -= np.repeat(word & ~1, size)
+    return out, counted[b]
 
 
 def _end(text: str) -> tuple[str, str]:
     """The text without line ends at its end, and that without an added mark of omission."""
     bare = text.rstrip("\r\n")
-    cut = _ADDED.sub("", bare)
-    return (cut, cut) if cut != bare else (bare, _SPACED.sub("", bare))
+    body, tail = bare[:-TAIL], bare[-TAIL:]
+    cut = _ADDED.sub("", tail)
+    return (body + cut, body + cut) if cut != tail else (bare, body + _SPACED.sub("", tail))
 
 
-FACTS = "is_count boolean, doc_id long, source string, kind string, code long, code_cut long, n_chars long, n_bytes long, n_inside long"
-_FACTS = pa.schema([("is_count", pa.bool_()), ("doc_id", pa.int64()), ("source", pa.string()), ("kind", pa.string()), *((c, pa.int64()) for c in ("code", "code_cut", "n_chars", "n_bytes", "n_inside"))])
+FACTS = "is_count boolean, doc_id long, source string, kind string, code long, code_cut long, n_chars long, n_bytes long, ended_line long, n_inside long"
+_FACTS = pa.schema([("is_count", pa.bool_()), ("doc_id", pa.int64()), ("source", pa.string()), ("kind", pa.string()), *((c, pa.int64()) for c in ("code", "code_cut", "n_chars", "n_bytes", "ended_line", "n_inside"))])
 
 
 def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each text that isn't blank, with its final contexts, and rows with the counts of contexts inside texts."""
+    """A row for each text that isn't blank, with its final contexts, and rows with the counts of contexts inside texts.
+
+    Tiny texts, and the first positions of all, are a kind of their own.
+    """
     inside: dict[str, np.ndarray] = {}
+
+    def add(kind: str, codes: np.ndarray) -> None:
+        if kind not in inside:
+            inside[kind] = np.zeros(BINS, np.int32)
+        inside[kind] += np.bincount(codes, minlength=BINS).astype(np.int32)
+
     for batch in batches:
-        rows = []
+        rows, held = [], {}
         for doc_id, text, lang, source in zip(*(c.to_pylist() for c in batch.columns)):
-            if text is None or not text.strip("﻿​ \t\r\n\x0b\x0c"):
+            if text is None or not text.strip(BLANK):
                 continue
             kind = language(text, lang)
             bare, cut = _end(text)
-            bytes_ = masked(bare, kind)
-            codes, counts = contexts(bytes_, kind)
-            if kind not in inside:
-                inside[kind] = np.zeros(BINS, np.int32)
+            codes, counts = contexts(masked(bare, kind), kind)
             final, final_cut = int(codes[-1]), int(codes[len(cut) - 1]) if cut else int(codes[-1])
-            inner = codes[:-1][counts[:-1]]
-            if len(inner) > BINS // 8:
-                inside[kind] += np.bincount(inner, minlength=BINS).astype(np.int32)
-            else:
-                np.add.at(inside[kind], inner, 1)
-            rows.append((False, doc_id, source, kind, final, final_cut, len(text), len(text.encode("utf-8", "surrogatepass")), None))
+            held.setdefault(kind, []).append(codes[NEAR:-1][counts[NEAR:-1]])
+            held.setdefault(TINY, []).append(codes[: min(NEAR, len(codes) - 1)][counts[: min(NEAR, len(codes) - 1)]])
+            rows.append((False, doc_id, source, kind if len(codes) > NEAR else TINY, final, final_cut, len(text), len(text.encode("utf-8", "surrogatepass")), int(len(bare) < len(text)), None))
+            if sum(map(len, held[kind])) > BINS:
+                add(kind, np.concatenate(held.pop(kind)))
+        for kind, codes in held.items():
+            add(kind, np.concatenate(codes))
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _FACTS)] if rows else [pa.array([], f.type) for f in _FACTS], schema=_FACTS)
     for kind, counts in inside.items():
         at = np.flatnonzero(counts)
-        n, null = len(at), pa.nulls
-        yield pa.RecordBatch.from_arrays([pa.array([True] * n), null(n, pa.int64()), null(n, pa.string()), pa.array([kind] * n), pa.array(at), null(n, pa.int64()), null(n, pa.int64()), null(n, pa.int64()), pa.array(counts[at].astype(np.int64))], schema=_FACTS)
+        n = len(at)
+        null = lambda t, n=n: pa.nulls(n, t)
+        yield pa.RecordBatch.from_arrays([pa.array([True] * n, pa.bool_()), null(pa.int64()), null(pa.string()), pa.array([kind] * n, pa.string()), pa.array(at), *(null(pa.int64()) for _ in range(4)), pa.array(counts[at].astype(np.int64))], schema=_FACTS)
 
 
 def _levels(code):
-    """Longer and longer contexts of a code, the shortest first: depth and last character, second, line's word, third."""
+    """Longer and longer contexts of a code, the shortest first: depth and last character, second, indent, line's word, third."""
     word, rest = code % WORDS, F.floor(code / WORDS)
     two = F.floor(rest / THIRD)
     one = F.floor(two / SECOND)
-    return [one, two, two * WORDS + word, code]
+    return [one, two, two * 2 + word % 2, two * WORDS + word, code]
 
 
 def ending_odds(docs: DataFrame, inside: DataFrame) -> DataFrame:
-    """docs (row, kind, code) with ratio: how much more often texts end after the context than positions have it.
+    """docs (row, kind, code, p) with ratio: how much more often complete texts end after the context than positions have it.
 
-    Each longer context's rate of ending is smoothed towards the shorter one's; the text itself is left out.
+    Texts count with their probability of being complete, the text itself not at all; each longer
+    context's rate of ending is smoothed towards the shorter one's. Contexts are a bounded alphabet, so
+    the rates are worked out per context and joined to the texts once.
     """
-    totals = inside.groupBy("kind").agg(F.sum("n_inside").alias("positions")).join(docs.groupBy("kind").agg(F.count(F.lit(1)).alias("texts")), "kind", "right")
-    out = docs.join(totals, "kind").withColumn("mean", (F.coalesce("positions", F.lit(0)) + F.col("texts")) / F.col("texts")).withColumn("rate", 1 / F.col("mean"))
-    for k in range(4):
-        level = lambda c, k=k: _levels(c)[k].cast("long").alias("c")
-        went_on = inside.groupBy("kind", level(F.col("code"))).agg(F.sum("n_inside").alias("went_on"))
-        ended = docs.groupBy("kind", level(F.col("code"))).agg(F.count(F.lit(1)).alias("ended"))
-        both = ended.join(went_on, ["kind", "c"], "left")
-        out = out.withColumn("c", _levels(F.col("code"))[k].cast("long")).join(both, ["kind", "c"])
-        others = F.col("ended") - 1
-        out = out.withColumn("rate", (others + KAPPA * F.col("rate")) / (others + F.coalesce("went_on", F.lit(0)) + KAPPA)).drop("c", "ended", "went_on")
-    return out.withColumn("ratio", F.col("rate") * F.col("mean")).drop("rate", "mean", "positions", "texts")
+    whole = F.lit(1.0) - F.col("p")
+    ended = docs.groupBy("kind", "code").agg(F.sum(whole).alias("ended"))
+    rates = ended.select("kind", "code")
+    texts = ended.groupBy("kind").agg(F.sum("ended").alias("texts"))
+    totals = texts.join(inside.groupBy("kind").agg(F.sum("n_inside").alias("positions")), "kind", "left")
+    for k in range(LEVELS):
+        by = lambda x, k=k: x.withColumn("c", _levels(F.col("code"))[k].cast("long"))
+        e = by(ended).groupBy("kind", "c").agg(F.sum("ended").alias(f"e{k}"))
+        g = by(inside).groupBy("kind", "c").agg(F.sum("n_inside").alias(f"g{k}"))
+        rates = by(rates).join(e, ["kind", "c"]).join(g, ["kind", "c"], "left").drop("c")
+    out = docs.join(rates.join(totals, "kind"), ["kind", "code"])
+    mean = (F.coalesce("positions", F.lit(0)) + F.col("texts")) / F.greatest("texts", F.lit(1.0))
+    out = out.withColumn("mean", mean).withColumn("rate", 1 / F.col("mean"))
+    for k in range(LEVELS):
+        others = F.greatest(F.col(f"e{k}") - whole, F.lit(0.0))
+        out = out.withColumn("rate", (others + KAPPA * F.col("rate")) / (others + F.coalesce(f"g{k}", F.lit(0)) + KAPPA))
+    return out.withColumn("ratio", F.col("rate") * F.col("mean")).drop("rate", "mean", "positions", "texts", *(f"{x}{k}" for x in "eg" for k in range(LEVELS)))
 
 
 def truncated(df: DataFrame, doc_id: str, text: str, lang: str, source: str, prior: float = 0.1, limit_texts: int = 4, rounds: int = 3) -> DataFrame:
     """(doc_id, source, kind, p): each text that isn't null, empty or blank with the probability that it was cut.
 
-    prior: share of cut texts to begin with; it is then found per source in ``rounds`` passes, and for
-    lengths (in characters or bytes) that at least limit_texts texts of a source have in common. Repeated
-    rows are judged one by one; a null language is guessed from the text, a null source is one of its own;
-    other columns are ignored; an empty table gives no rows. Whole texts are read, of any length.
+    prior: share of cut texts to begin with (a tenth of it for texts of at most NEAR characters, 0.9 for
+    those that end within brackets); the model and the shares are then fitted in ``rounds`` passes, per
+    source and for lengths (in characters or bytes) that at least limit_texts texts of a source have in
+    common. Repeated rows are judged one by one; a null language is guessed from the text, a null source
+    is one of its own; other columns are ignored; an empty table gives no rows. Whole texts are read, of
+    any length.
     """
     scratch = Scratch(df.sparkSession)
     picked = df.select(F.col(doc_id).cast("long"), F.col(text).cast("string"), F.col(lang).cast("string"), F.coalesce(F.col(source).cast("string"), F.lit("")))
     facts, _ = scratch.put(picked.mapInArrow(_facts, FACTS))
-    inside = facts.where("is_count").groupBy("kind", "code").agg(F.sum("n_inside").alias("n_inside"))
-    inside, inside_at = scratch.put(inside)
-    docs = facts.where("not is_count").select("doc_id", "source", "kind", "code", "code_cut", "n_chars", "n_bytes")
+    inside, _ = scratch.put(facts.where("is_count").groupBy("kind", "code").agg(F.sum("n_inside").alias("n_inside")))
+    docs = facts.where("not is_count").select("doc_id", "source", "kind", "code", "code_cut", "n_chars", "n_bytes", "ended_line")
     for c in ("n_chars", "n_bytes"):
-        same = docs.groupBy("source", c).agg(F.count(F.lit(1)).alias(f"same_{c}")).where(F.col(f"same_{c}") >= limit_texts)
+        same = docs.where(F.col("kind") != TINY).groupBy("source", c).agg(F.count(F.lit(1)).alias(f"same_{c}")).where(F.col(f"same_{c}") >= limit_texts)
         docs = docs.join(same, ["source", c], "left")
     # A mark of omission with a blank before it is an added one where texts of that length abound.
     at_limit = F.coalesce("same_n_chars", "same_n_bytes").isNotNull()
+    depth = F.floor(F.col("code") / (LAST * SECOND * THIRD * WORDS))
+    begin = F.when(F.col("kind") == TINY, prior / 10).when(F.col("is_open"), 0.9).otherwise(prior)
     docs = docs.withColumn("code", F.when(at_limit, F.col("code_cut")).otherwise(F.col("code"))).drop("code_cut")
-    docs, docs_at = scratch.put(docs)
-    judged, judged_at = scratch.put(ending_odds(docs, inside).withColumn("p", F.lit(prior)))
-    scratch.drop(inside_at, docs_at)
-    for k in range(rounds):
-        share = judged.groupBy("source").agg((F.sum("p") + 2 * prior).alias("cut"), (F.count(F.lit(1)) + F.lit(2)).alias("n")).select("source", (F.col("cut") / F.col("n")).alias("pi"))
-        now = judged.join(share, "source")
+    docs = docs.withColumn("is_open", depth.isin(1, 2)).withColumn("p", begin)
+    judged, judged_at = scratch.put(docs)
+    for _ in range(rounds):
+        now = ending_odds(judged, inside)
+        by_source = judged.groupBy("source").agg(F.sum("p").alias("cut"), F.sum(F.col("p") * F.col("ended_line")).alias("cut_ended"), F.count(F.lit(1)).alias("n"), F.sum("ended_line").alias("ended"))
+        # Whether a line end is there tells something too, where a source's cut texts never or always have one.
+        line = lambda ended, n: F.when(F.col("ended_line") == 1, ended).otherwise(n - ended) / n
+        in_cut = line(F.col("cut_ended") + 1, F.col("cut") + 2)
+        in_whole = line(F.col("ended") - F.col("cut_ended") + 2, F.col("n") - F.col("cut") + 2.5)
+        now = now.join(by_source, "source").withColumn("pi", (F.col("cut") + 2 * prior) / (F.col("n") + 2)).withColumn("line", in_cut / in_whole).drop("cut", "cut_ended", "n", "ended")
         for c in ("n_chars", "n_bytes"):
             same = judged.where(F.col(f"same_{c}").isNotNull()).groupBy("source", c).agg(F.sum("p").alias(f"cut_{c}"), F.count(F.lit(1)).alias(f"n_{c}"))
             now = now.join(same, ["source", c], "left")
             now = now.withColumn(f"pi_{c}", (F.col(f"cut_{c}") + 2 * F.col("pi")) / (F.col(f"n_{c}") + 2)).drop(f"cut_{c}", f"n_{c}")
-        pi = F.least(F.greatest("pi", "pi_n_chars", "pi_n_bytes"), F.lit(0.98))
-        # ratio = (1 - base) * complete + base, base being the share of cut texts among all.
-        complete = F.greatest(F.col("ratio") - prior, F.lit(0.001)) / (1 - prior)
-        now = now.withColumn("p", pi / (pi + (1 - pi) * complete)).drop("pi", "pi_n_chars", "pi_n_bytes")
+        # Texts that end within brackets are cut where complete ones of their language never do.
+        within = judged.where("is_open").groupBy("kind", "is_open").agg(((F.sum("p") + 2 * prior) / (F.count(F.lit(1)) + F.lit(2))).alias("pi_open"))
+        now = now.join(within, ["kind", "is_open"], "left")
+        tiny = F.col("kind") == TINY
+        pi = F.when(tiny, prior / 10).otherwise(F.least(F.greatest("pi", "pi_n_chars", "pi_n_bytes", "pi_open"), F.lit(0.98)))
+        odds = pi / (1 - pi) * F.when(tiny, 1.0).otherwise(F.col("line")) / F.greatest("ratio", F.lit(0.001))
+        now = now.withColumn("p", odds / (1 + odds)).drop("pi", "pi_n_chars", "pi_n_bytes", "pi_open", "line", "ratio")
         before, (judged, judged_at) = judged_at, scratch.put(now)
         scratch.drop(before)
     return judged.select(F.col("doc_id").alias(doc_id), F.nullif(F.col("source"), F.lit("")).alias(source), "kind", "p")
