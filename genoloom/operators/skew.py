@@ -12,8 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-#: Steps per power of two in the buckets that narrow the search for a median.
-STEPS = 64
+from ..functions.stats import value_bucket
 
 
 def tree_aggregate(
@@ -21,8 +20,8 @@ def tree_aggregate(
     keys: list[str],
     init: dict[str, Column],
     merge: dict[str, Column],
-    chunk_rows: int = 1 << 18,
-    fan_in: int = 16,
+    chunk_rows: int = 1 << 15,
+    fan_in: int = 8,
     rows: int | None = None,
 ) -> DataFrame:
     """One row per combination of ``keys`` with the merged states.
@@ -31,7 +30,7 @@ def tree_aggregate(
     The number of rounds is the logarithm (base ``fan_in``) of the number of chunks. Keys that are null
     group as one key; an empty input gives no rows. ``rows`` saves the count, if it is known.
     """
-    chunks = max((rows if rows is not None else df.count()) // chunk_rows, df.sparkSession.sparkContext.defaultParallelism)
+    chunks = max(math.ceil((rows if rows is not None else df.count()) / chunk_rows), 1)
     width = fan_in ** max(0, math.ceil(math.log(max(chunks, 1), fan_in)) - 1)
     node = "__node"
     row = F.monotonically_increasing_id()
@@ -82,9 +81,7 @@ def median_of_histogram(histogram: DataFrame, key: str) -> DataFrame:
     A coarse histogram over buckets that rise with v tells where the middle lies; only the one or two
     buckets holding it are sorted, so that even a key with billions of distinct figures sorts few.
     """
-    size = F.least(F.log2(F.abs("v")) + 1100, F.lit(3000.0)) * STEPS
-    bucket = F.when(F.col("v") == 0, F.lit(0)).otherwise(F.floor(F.signum("v") * size)).cast("long")
-    h = histogram.withColumn("b", bucket)
+    h = histogram.withColumn("b", value_bucket())
     per = h.groupBy(key, "b").agg(F.sum("n").alias("m"))
     w = W.partitionBy(key)
     per = (
