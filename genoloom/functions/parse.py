@@ -71,7 +71,7 @@ def comparison(c: str | Column) -> Column:
 
 def items(c: str | Column, sep: str = r" \| ") -> Column:
     """A delimited cell as an array without blanks around and empty items."""
-    return F.filter(F.transform(F.split(col(c), sep), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(col(c), sep), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def or_default(c: str | Column, default: str) -> Column:
