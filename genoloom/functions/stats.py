@@ -82,7 +82,8 @@ def _beta_fraction(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
     return h
 
 
-_lgamma = np.frompyfunc(math.lgamma, 1, 1)
+def _lgamma(x: np.ndarray | float) -> np.ndarray:
+    return np.frompyfunc(math.lgamma, 1, 1)(x)
 
 
 def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:

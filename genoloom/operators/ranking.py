@@ -38,12 +38,12 @@ def dense_ids(df: DataFrame, order: list[Column], name: str, start: int = 1) ->
     from ..session import Scratch
 
     scratch = Scratch(df.sparkSession)
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__dense_at", F.monotonically_increasing_id())
     placed, _ = scratch.put(placed)
-    part = F.shiftright("__at", 33)
-    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.withColumn("__before", F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")).drop("__n")  # a row per partition
-    return placed.withColumn("__part", part).join(before, "__part").withColumn(name, F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + start).drop("__part", "__at", "__before")
+    part = F.shiftright("__dense_at", 33)
+    sizes = placed.groupBy(part.alias("__dense_part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.withColumn("__before", F.sum("__n").over(W.orderBy("__dense_part").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")).drop("__n")  # a row per partition
+    return placed.withColumn("__dense_part", part).join(before, "__dense_part").withColumn(name, F.col("__before") + F.col("__dense_at").bitwiseAND(F.lit((1 << 33) - 1)) + start).drop("__dense_part", "__dense_at", "__before")
 
 
 def sample_per_group(df: DataFrame, keys: list[str], item: str, n: int | Column, seed: str) -> DataFrame:
