@@ -24,8 +24,8 @@ def spearman(long: DataFrame, by: list[str], min_samples: int = 3) -> DataFrame:
     a = ranked.withColumnsRenamed({"gene": "gene1", "rank": "r1"})
     b = ranked.withColumnsRenamed({"gene": "gene2", "rank": "r2"})
     pairs = a.join(b, [*by, "sample"]).where("gene1 < gene2")  # a sample's genes: a bounded list
-    out = pairs.groupBy(*by, "gene1", "gene2").agg(F.corr("r1", "r2").alias("rho"), F.count(F.lit(1)).alias("n_samples")).where(F.col("n_samples") >= min_samples)
-    out = out.withColumn("spearman_rho", F.when(~F.isnan("rho"), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("rho"))))).drop("rho")
+    out = pairs.groupBy(*by, "gene1", "gene2").agg(F.try_divide(F.covar_pop("r1", "r2"), F.stddev_pop("r1") * F.stddev_pop("r2")).alias("rho"), F.count(F.lit(1)).alias("n_samples")).where(F.col("n_samples") >= min_samples)
+    out = out.withColumn("spearman_rho", F.when(F.col("rho").isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("rho"))))).drop("rho")
     out = out.withColumn("t", stats.t_statistic(F.col("spearman_rho"), F.col("n_samples")))
     return out.withColumn("pvalue", stats.t_two_sided(F.col("t"), F.col("n_samples") - 2))
 
