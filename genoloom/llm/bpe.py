@@ -98,7 +98,8 @@ class Tokenizer:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         keys = np.array([(vocab[a] << 32) | vocab[b] for a, b in pairs], np.int64)
         order = np.argsort(keys)
-        self.keys, self.ranks = keys[order], order.astype(np.int64)
+        # A last key that no pair has, so that a search always ends at one.
+        self.keys, self.ranks = np.append(keys[order], NONE), np.append(order.astype(np.int64), NONE)
         self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)  # by rank
         self.forget()
 
@@ -115,7 +116,7 @@ class Tokenizer:
         while len(symbols):
             rank = np.full(len(symbols), NONE)
             key = (symbols[:-1] << 32) | symbols[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            at = np.searchsorted(self.keys, key)
             hit = (self.keys[at] == key) & (word[:-1] == word[1:])
             rank[:-1][hit] = self.ranks[at[hit]]
             first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))

@@ -25,7 +25,7 @@ def top_n(df: DataFrame, group: str, score: str, tie: str, row_id: str, n: int =
     rows = rows.where(f"g is not null and id is not null and {finite('score')} and {finite('tie')}")
     # -0.0 and 0.0 are the same score.
     rows = rows.withColumns({c: F.col(c) + F.lit(0.0) for c in ("score", "tie")})
-    cuts = sorted(set(rows.approxQuantile("score", [k / bands for k in range(1, bands)], 0.01)), reverse=True)
+    cuts = sorted(set(rows.approxQuantile("score", [k / bands for k in range(1, bands)], 0.01)), reverse=True) if bands > 1 else []
     band = F.lit(len(cuts))
     for k in reversed(range(len(cuts))):
         band = F.when(F.col("score") >= cuts[k], k).otherwise(band)
@@ -51,5 +51,4 @@ def top_n(df: DataFrame, group: str, score: str, tie: str, row_id: str, n: int =
         rest, rest_at = state.where("not filled").drop("filled", "rank"), state_at
         last = state.where("not filled").drop("filled")
     scratch.drop(banded_at)
-    names = {"g": group, "score": score, "tie": tie, "id": row_id}
-    return full.unionByName(last).withColumnsRenamed(names)
+    return full.unionByName(last).select(F.col("g").alias(group), F.col("score").alias(score), F.col("tie").alias(tie), F.col("id").alias(row_id), "rank")
