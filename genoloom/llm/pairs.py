@@ -83,9 +83,10 @@ def item_pairs(
     n = cells.select("basket").distinct().count()
     least = max(min_count, math.ceil(n * min_share[0] / min_share[1]))
     marginals = cells.groupBy("item").agg(F.count(F.lit(1)).alias("n_item")).where(F.col("n_item") >= least)
-    found = marginals.agg(F.count(F.lit(1)), F.sum("n_item")).first()
+    found = marginals.agg(F.count(F.lit(1)), F.sum("n_item"), F.max("n_item")).first()
     blocks = max(1, math.ceil(found[0] / item_block))
-    records = max(1, math.ceil(2 * (found[1] or 0) / (blocks * cell_rows)))
+    # So many record blocks that a cell holds cell_rows rows on average, and no more of one item.
+    records = max(1, math.ceil(2 * (found[1] or 0) / (blocks * cell_rows)), math.ceil((found[2] or 0) / cell_rows))
 
     block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
