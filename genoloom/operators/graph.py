@@ -124,3 +124,36 @@ def clique_scores(edges: DataFrame, most: int = 4) -> DataFrame:
         one = cliques(edges, size).select(F.explode("nodes").alias("node"), F.lit(factorial).alias("w"))
         total = one if total is None else total.unionByName(one)
     return total.groupBy("node").agg(F.sum("w").alias("mcc"))
+
+
+def shortest_paths(edges: DataFrame, most: int = 64) -> DataFrame:
+    """(a, b, d, paths): steps between all connected ordered pairs of nodes of a bounded graph and how many shortest paths there are.
+
+    Breadth-first from all nodes at once, a level per round. For neighbourhoods of chosen seeds: the
+    result has a row per pair of nodes.
+    """
+    scratch = Scratch(edges.sparkSession)
+    links = both_ways(edges.select("a", "b"))
+    front = links.select(F.col("node").alias("a"), F.col("node").alias("b")).distinct().select("a", "b", F.lit(0).alias("d"), F.lit(1).cast("long").alias("paths"))
+    front, _ = scratch.put(front)
+    out = front
+    for d in range(1, most + 1):
+        step = front.join(links.withColumnsRenamed({"node": "b", "other": "c"}), "b").groupBy("a", F.col("c").alias("b")).agg(F.sum("paths").alias("paths"))
+        front, _ = scratch.put(step.join(out.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", F.lit(d).alias("d"), "paths"))
+        if front.isEmpty():
+            break
+        out = out.unionByName(front)
+    return out
+
+
+def centralities(edges: DataFrame) -> DataFrame:
+    """(node, closeness, betweenness) of a bounded graph: inverse mean steps within the node's component, and the
+    share of shortest paths between pairs of others that pass through the node."""
+    paths, _ = Scratch(edges.sparkSession).put(shortest_paths(edges))
+    ends = paths.where("d > 0")
+    near = ends.groupBy(F.col("a").alias("node")).agg((F.count(F.lit(1)) / F.sum("d")).alias("closeness"))
+    first = ends.select("a", F.col("b").alias("node"), F.col("d").alias("d1"), F.col("paths").alias("n1"))
+    second = ends.select(F.col("a").alias("node"), "b", F.col("d").alias("d2"), F.col("paths").alias("n2"))
+    through = first.join(second, "node").where("a < b").join(ends, ["a", "b"]).where("d1 + d2 = d")
+    between = through.groupBy("node").agg(F.sum(F.col("n1") * F.col("n2") / F.col("paths")).alias("betweenness"))
+    return near.join(between, "node", "left").select("node", "closeness", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"))

@@ -165,6 +165,11 @@ def g8_eigenvector(spark: SparkSession, base: str) -> DataFrame:
     return graph.eigenvector(expanded(spark, base), 8).withColumn("centrality", F.round("centrality", 6))
 
 
+def g6_centralities(spark: SparkSession, base: str) -> DataFrame:
+    out = graph.centralities(expanded(spark, base))
+    return out.select("node", F.round("closeness", 6).alias("closeness"), F.round("betweenness", 6).alias("betweenness"))
+
+
 def g10_page_rank(spark: SparkSession, base: str) -> DataFrame:
     return graph.page_rank(simple(spark, base), 5).withColumn("rank", F.round("rank", 9))
 
@@ -232,7 +237,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         c4_gene_occurrence, r6_comparisons, f10_intervals, c12_layout, p8_threshold, c11_high_conservation, c5_conserved_sets, c6_closed_sets, g3_simple_edges, g4_degrees, g2_components,
-        c2_dereplicated, a11_cluster_sizes, j36_expanded, g13_nodes, g11_clique_scores, g12_hubs, g8_eigenvector, g10_page_rank, g9_core, c10_families, a16_family_summary, j39_family_clusters,
+        c2_dereplicated, a11_cluster_sizes, j36_expanded, g13_nodes, g11_clique_scores, g12_hubs, g6_centralities, g8_eigenvector, g10_page_rank, g9_core, c10_families, a16_family_summary, j39_family_clusters,
     )
 }
 QUERIES["q8_threshold"] = QUERIES.pop("p8_threshold")
@@ -260,6 +265,14 @@ SQL = {
     "g11_clique_scores": _MCC + " select * from mcc",
     "g12_hubs": _MCC + """, own as (select * from mcc where node in (select node from seed) order by mcc desc, node limit 10), top as (select * from mcc order by mcc desc, node limit 10),
         s as (select own.* from own semi join top using (node)) select * from s union all select * from (select * from own order by mcc desc, node limit 2) where not exists (select 1 from s)""",
+    "g6_centralities": _EXP.replace("with raw", "with recursive raw", 1) + """, t as (select a x, b y from ex union all select b, a from ex),
+        walk(s, v, d) as (select distinct x, x, 0 from t union select s, y, d + 1 from walk join t on x = v where d < 30),
+        dist as (select s, v, min(d) d from walk group by 1, 2),
+        p(s, v, d, n) as (select s, v, d, 1::double from dist where d = 0 union all select p.s, y, p.d + 1, sum(n) from p join t on x = p.v join dist q on q.s = p.s and q.v = y and q.d = p.d + 1 group by 1, 2, 3),
+        e as (select * from p where d > 0),
+        c as (select s node, count(*) / sum(d) closeness from e group by 1),
+        b as (select x.v node, sum(x.n * y.n / z.n) betweenness from e x join e y on y.s = x.v and x.s < y.v join e z on z.s = x.s and z.v = y.v and z.d = x.d + y.d group by 1)
+        select node, round(closeness, 6) closeness, round(coalesce(betweenness, 0), 6) betweenness from c left join b using (node)""",
     "g8_eigenvector": _EIG + " select node, round(v, 6) centrality from v8",
     "g10_page_rank": _RANK + " select node, round(r, 9) rank from r5",
     "c10_families": _NEAR + " select node gene_id, component cluster_representative, count(*) over (partition by component) family_size from lab",

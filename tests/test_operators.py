@@ -131,3 +131,11 @@ def test_fallback_and_coverage(spark):
     rows = spark.createDataFrame([("c", "t", "g1"), ("c", "t", "g1"), ("c", "u", "g2"), ("d", "t", "g3")], "c string, t string, g string")
     got = {(r.c, r.t): (r.n, r.of_group, r.of_term) for r in enrich.coverage(rows, "c", "t", "g").collect()}
     assert got == {("c", "t"): (1, 0.5, 0.5), ("c", "u"): (1, 0.5, 1.0), ("d", "t"): (1, 1.0, 0.5)}
+
+
+def test_centralities(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("a", "e"), ("d", "e"), ("x", "y")], "a string, b string")
+    got = {r.node: (round(r.closeness, 6), r.betweenness) for r in graph.centralities(edges).collect()}
+    assert got["a"] == (round(4 / 6, 6), 1.0) and got["x"] == (1.0, 0.0)
+    square = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("a", "d")], "a string, b string")
+    assert {r.betweenness for r in graph.centralities(square).collect()} == {0.5}
