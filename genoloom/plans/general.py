@@ -58,15 +58,16 @@ cell as (select *, case file_kind when 'blast' then f[11] when 'seed_orthologs'
         case file_kind when 'blast' then f[1] when 'seed_orthologs' then f[1] else f[2] end q,
         case file_kind when 'eggnog_summary' then f[3] else f[2] end hit,
         case file_kind when 'blast' then f[12] when 'seed_orthologs' then f[4] else f[5] end s from cut),
+tried as (select *,
+        not regexp_matches(e, {_NUMBER}) or regexp_matches(e, '^ *-[0-9.]*[1-9]') bad_e,
+        not (file_kind = 'eggnog_summary' and p = '-') and (not regexp_matches(p, {_NUMBER})
+            or regexp_matches(p, '^ *-[0-9.]*[1-9]') or coalesce(try_cast(trim(p, ' ') as double), 1e308) > 100) bad_p,
+        file_kind <> 'blast' and not regexp_matches(h, '^[0-9]+\.[A-Za-z][A-Za-z0-9_.\-]*$') bad_h from cell),
 judged as (select *, case
         when not whole then 'quoting'
         when file_kind = 'blast' and len(f) not in (12, 13) or file_kind = 'seed_orthologs' and len(f) <> 11
             or file_kind = 'eggnog_summary' and len(f) <> 6 then 'column_count'
-        when not regexp_matches(e, {_NUMBER}) or regexp_matches(e, '^ *-[0-9.]*[1-9]')
-            or not (file_kind = 'eggnog_summary' and p = '-') and (not regexp_matches(p, {_NUMBER})
-                or regexp_matches(p, '^ *-[0-9.]*[1-9]') or coalesce(try_cast(trim(p, ' ') as double), 1e308) > 100)
-            or file_kind <> 'blast' and not regexp_matches(h, '^[0-9]+\.[A-Za-z][A-Za-z0-9_.\-]*$') then 'invalid_value'
-        end reason from cell)
+        when bad_e or bad_p or bad_h then 'invalid_value' end reason from tried)
 """
 _COUNTS = "select {key}, count(*) n_rows, count(distinct {of}) {name}{more} from (select conserved_id, upper(trim(human_gene, ' ')) human_gene, e_value from homology_summary) where {key} is not null group by 1"
 
@@ -83,4 +84,8 @@ SQL = {
     "p2_loaded": _JUDGED + """select record_id, file_kind, q query_id, hit, cast(trim(e, ' ') as double) evalue,
         try_cast(trim(p, ' ') as double) perc_identity, case when regexp_matches(s, """ + _NUMBER + """) then cast(trim(s, ' ') as double) end score
         from judged where reason is null""",
+    "p2_reasons": _JUDGED + """select file_kind, case when reason is null then 'ok' else 'bad' end status, reason,
+            case when reason = 'invalid_value' then case when bad_e then 'evalue' when bad_p then 'perc_identity' else 'Hit' end end bad_field, count(*) n_lines
+        from judged group by all
+        union all select file_kind, 'skip', null, null, count(*) from raw_record where record_id not in (select record_id from line) group by 1""",
 }

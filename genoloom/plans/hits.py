@@ -11,17 +11,22 @@ from ..session import table
 CRITERIA = ("length", "evalue", "identity", "comprehensive")
 
 
-def hits(spark: SparkSession, base: str) -> DataFrame:
-    """Alignment hits once each, with the subject's gene."""
-    df = table(spark, base, "blast_hit").select(
+def delivered(spark: SparkSession, base: str) -> DataFrame:
+    """Alignment hits as delivered, some more than once, with the subject's gene."""
+    return table(spark, base, "blast_hit").select(
         "hit_id", "conserved_id", "cluster_gene", parse.first_filled(parse.pipe_field("subject_id", 5), F.lit("Unknown")).alias("subject"),
         F.col("alignment_length").alias("length"), "evalue", F.col("perc_identity").alias("identity"), "bit_score", "query_id",
     )
-    return df.dropDuplicates(["hit_id"])
+
+
+def hits(spark: SparkSession, base: str) -> DataFrame:
+    """Alignment hits once each."""
+    return delivered(spark, base).dropDuplicates(["hit_id"])
 
 
 def best(spark: SparkSession, base: str) -> DataFrame:
-    return ranking.best_hits(hits(spark, base).where("conserved_id is not null and cluster_gene is not null"), ["conserved_id", "cluster_gene"])
+    """Copies of a hit tie with it in everything, so they needn't be removed first."""
+    return ranking.best_hits(delivered(spark, base).where("conserved_id is not null and cluster_gene is not null"), ["conserved_id", "cluster_gene"])
 
 
 def c8_best_hits(spark: SparkSession, base: str) -> DataFrame:
@@ -66,13 +71,13 @@ def a15_queries(spark: SparkSession, base: str) -> DataFrame:
 
 
 def w6_first_per_query(spark: SparkSession, base: str) -> DataFrame:
-    ok = hits(spark, base).where("query_id is not null and evalue is not null and not isnan(evalue)")
+    ok = delivered(spark, base).where("query_id is not null and evalue is not null and not isnan(evalue)")
     return ok.groupBy("query_id").agg(F.min_by("hit_id", F.struct("evalue", "hit_id")).alias("hit_id"))
 
 
 def j16_hit_genes(spark: SparkSession, base: str) -> DataFrame:
     """Rows of the summary whose gene is hit by any query."""
-    hit = hits(spark, base).select(F.col("subject").alias("human_gene")).distinct()
+    hit = delivered(spark, base).select(F.col("subject").alias("human_gene")).distinct()
     return table(spark, base, "homology_summary").join(hit, "human_gene", "left_semi").groupBy("human_gene").agg(F.count(F.lit(1)).alias("n"))
 
 

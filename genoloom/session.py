@@ -40,13 +40,18 @@ class Scratch:
     """Tables written to the shared folder; each cuts lineage and survives the loss of executors.
 
     ``put`` writes and reads back; ``drop`` removes a table that nothing reads any more. What is not
-    dropped stays for the lazy plans that read it, in a folder of its own under the shared one.
+    dropped stays for the lazy plans that read it, in a folder of its own under the shared one, until
+    ``release`` is called.
     """
 
+    #: Folders of this process that may still hold tables.
+    folders: list[str] = []
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.base = f"{shared_dir(spark).rstrip('/')}/genoloom-{uuid.uuid4().hex}"
         self.n = 0
+        Scratch.folders.append(self.base)
 
     def put(self, df: DataFrame, partition_by: list[str] | None = None) -> tuple[DataFrame, str]:
         """(the table as written, its path). Shuffle files of the job that writes it go with the job."""
@@ -67,9 +72,8 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def free_name(columns: list[str], wanted: str) -> str:
-    """``wanted``, or that with underscores behind it until no column has the name."""
-    taken = {c.lower() for c in columns}
-    while wanted.lower() in taken:
-        wanted += "_"
-    return wanted
+def release(spark: SparkSession) -> None:
+    """Removes all scratch tables; to be called when the results of earlier queries are written."""
+    scratch = Scratch(spark)
+    scratch.drop(*Scratch.folders)
+    Scratch.folders.clear()

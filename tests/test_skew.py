@@ -60,3 +60,15 @@ def test_no_chunk_state_is_merged_by_one_task(spark):
     df = spark.range(100_000).select((F.col("id") % 3).cast("string").alias("key"))
     plan = skew.key_counts(df, "key", chunk_rows=1000, fan_in=4)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 4  # the logarithm of 100 chunks to the base of 4
+
+
+def test_scratch_tables_are_released(spark):
+    import os
+
+    from genoloom.session import Scratch, checkpoint, release
+
+    df, at = Scratch(spark).put(spark.range(5))
+    assert df.count() == 5 and spark.sparkContext.getCheckpointDir() in at
+    release(spark)
+    assert not os.path.exists(at.removeprefix("file:"))
+    assert checkpoint(spark.range(3)).count() == 3
