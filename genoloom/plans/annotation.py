@@ -163,6 +163,50 @@ def x_sets(spark: SparkSession, base: str) -> DataFrame:
     return tagged.groupBy("gene").agg(F.array_join(F.array_sort(F.collect_set("t")), "+").alias("named_in")).groupBy("named_in").agg(F.count(F.lit(1)).alias("n"))
 
 
+def lookup(spark: SparkSession, base: str) -> DataFrame:
+    """(gene, name): one human gene per cluster gene, that of the best score, then the first by name."""
+    df = table(spark, base, "homology_summary").where("cluster_gene is not null and human_gene is not null and comprehensive_score is not null and not isnan(comprehensive_score)")
+    return df.groupBy(F.col("cluster_gene").alias("gene")).agg(F.min_by(gene(), F.struct(-F.col("comprehensive_score"), gene())).alias("name"))
+
+
+def w20_first_name(spark: SparkSession, base: str) -> DataFrame:
+    return lookup(spark, base)
+
+
+def f20_mapped_lists(spark: SparkSession, base: str) -> DataFrame:
+    """Gene lists with each gene replaced by its human gene, or kept where it has none."""
+    rows = table(spark, base, "conserved_cluster").select("conserved_id", F.posexplode(parse.items("gene_list")).alias("at", "gene"))
+    named = rows.join(lookup(spark, base), "gene", "left").select("conserved_id", F.struct("at", F.coalesce("name", "gene").alias("name")).alias("x"))
+    return named.groupBy("conserved_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["name"]), "/").alias("names"))
+
+
+def j12_intervals(spark: SparkSession, base: str) -> DataFrame:
+    """Listed genes met among the hits at the same interval, in either orientation, per cluster."""
+    at = lambda c: parse.gene_interval(c).alias("i")
+    listed = members(spark, base).select("conserved_id", at("gene")).select("conserved_id", "i.contig", "i.start", "i.end").where("contig is not null").distinct()
+    hit = table(spark, base, "blast_hit").select("cluster_gene").distinct().select(at("cluster_gene")).select("i.contig", "i.start", "i.end").distinct()
+    return listed.join(hit, ["contig", "start", "end"], "left_semi").groupBy("conserved_id").agg(F.count(F.lit(1)).alias("n_intervals"))
+
+
+def j23_fallback(spark: SparkSession, base: str) -> DataFrame:
+    """Listed genes found in the summary by id, else by contig and ordinal (the first by name), else not at all."""
+    place = lambda c: F.nullif(F.regexp_extract(c, r"^(.*_[^_]+)_\d+_\d+$", 1), F.lit(""))
+    known = table(spark, base, "homology_summary").where("cluster_gene is not null").select(F.col("cluster_gene").alias("found")).distinct()
+    rows = members(spark, base).select("gene").distinct().withColumn("place", place("gene"))
+    near = known.withColumn("place", place("found")).where("place is not null").groupBy("place").agg(F.min("found").alias("near"))
+    out = rows.join(known.withColumn("gene", F.col("found")), "gene", "left").join(near, "place", "left")
+    how = F.when(F.col("found").isNotNull(), "id").when(F.col("near").isNotNull(), "place").otherwise("none")
+    return out.select("gene", F.coalesce("found", "near").alias("match"), how.alias("how"))
+
+
+def a20_by_genome(spark: SparkSession, base: str) -> DataFrame:
+    """Several figures at once per contig: genes, total and mean length, named ones and their share."""
+    df = placed(spark, base).where("contig is not null").select("contig", "length_bp", gene().alias("g"))
+    named = F.count_if(~F.coalesce(F.col("g"), F.lit("UNKNOWN")).isin("NO HIT", "UNKNOWN"))
+    out = df.groupBy("contig").agg(F.count(F.lit(1)).alias("n"), F.sum("length_bp").alias("total"), F.round(F.avg("length_bp"), 6).alias("mean"), named.alias("n_named"))
+    return out.withColumn("share", F.round(F.col("n_named") / F.col("n"), 1))
+
+
 _KEYED = "conserved_id is not null and cluster_gene is not null"
 _CONTIG = r"nullif(regexp_extract(cluster_gene, '^(.*)_[^_]+_\d+_\d+$', 1), '')"
 _PLACED = f"placed as (select h.*, phylum, family, genus, species from (select *, {_CONTIG} contig from homology_summary) h left join taxonomy t using (contig))"
@@ -192,7 +236,16 @@ def _sql() -> dict[str, str]:
 
     cov = f"with {_PLACED}, cell as (select distinct conserved_id, family, cluster_gene from placed where conserved_id is not null and family is not null and cluster_gene is not null), b as (select conserved_id, family, count(*) n from cell group by 1, 2), g as (select conserved_id, count(distinct cluster_gene) group_size from cell group by 1), t as (select family, count(distinct cluster_gene) term_size from cell group by 1)"
     newest = "select regexp_replace(contig, '\\.[0-9]+$', '') base, first(contig order by coalesce(try_cast(nullif(regexp_extract(contig, '\\.([0-9]+)$', 1), '') as int), 0) desc, contig desc) accession from {0} where contig is not null group by 1"
+    name = "look as (select cluster_gene gene, first(upper(trim(human_gene, ' ')) order by comprehensive_score desc, upper(trim(human_gene, ' '))) name from homology_summary where cluster_gene is not null and human_gene is not null and comprehensive_score is not null and not isnan(comprehensive_score) group by 1)"
+    at = "nullif(regexp_extract({0}, '^(.*)_[^_]+_\\d+_\\d+$', 1), '') contig, least({1}, {2}) lo, greatest({1}, {2}) hi"
+    pos = lambda c: at.format(c, *(f"try_cast(nullif(regexp_extract({c}, '^.*_[^_]+_(\\d+)_(\\d+)$', {k}), '') as bigint)" for k in (1, 2)))
+    spot = "nullif(regexp_extract({0}, '^(.*_[^_]+)_\\d+_\\d+$', 1), '')"
     return {
+        "w20_first_name": f"with {name} select * from look",
+        "f20_mapped_lists": f"with {name}, m as (select conserved_id, list_filter(list_transform(string_split(gene_list, ' | '), lambda x: trim(x, ' ')), lambda x: x <> '') l from conserved_cluster), e as (select conserved_id, unnest(l) gene, unnest(range(len(l))) k from m) select conserved_id, string_agg(coalesce(name, gene), '/' order by k) names from e left join look using (gene) group by 1",
+        "j12_intervals": f"with {_MEMBER}, a as (select distinct conserved_id, {pos('gene')} from member), b as (select distinct {pos('cluster_gene')} from blast_hit) select conserved_id, count(*) n_intervals from a semi join b using (contig, lo, hi) group by 1",
+        "j23_fallback": f"with {_MEMBER}, k as (select distinct cluster_gene f from homology_summary where cluster_gene is not null), n as (select {spot.format('f')} place, min(f) near from k group by 1 having place is not null), r as (select distinct gene, {spot.format('gene')} place from member) select gene, coalesce(f, near) as match, case when f is not null then 'id' when near is not null then 'place' else 'none' end how from r left join k on f = gene left join n using (place)",
+        "a20_by_genome": f"with {_PLACED}, g as (select contig, length_bp, coalesce(upper(trim(human_gene, ' ')), 'UNKNOWN') not in ('NO HIT', 'UNKNOWN') named from placed where contig is not null) select contig, count(*) n, sum(length_bp) total, round(avg(length_bp), 6) mean, count(*) filter (named) n_named, round(count(*) filter (named) / count(*), 1) share from g group by 1",
         "c9_integrated": _integrated() + """ select conserved_id, cluster_gene, human_gene, e_value, prot_gene, prot_evalue, egg_hit, egg_evalue,
             case when n and g then 'Both' when n then 'BLAST only' when g then 'eggNOG only' else 'BLASTP only' end source, gene_count, species_count, coalesce(nullif(human_gene, ''), nullif(prot_gene, ''), nullif(egg_hit, ''), 'NA') any_gene
             from al left join conserved_cluster using (conserved_id)""",
@@ -219,7 +272,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         c9_integrated, a19_sources, c3_profile, a21_levels, c20_top_genera, c1_panel, a2_ranks_known, c18_coverage, a22_terms, o12_sample, o7_batches,
-        p23_open_work, a38_completion, j25_by_any_id, g16_flow, c19_evidence, x_sets,
+        p23_open_work, a38_completion, j25_by_any_id, g16_flow, c19_evidence, x_sets, w20_first_name, f20_mapped_lists, j12_intervals, j23_fallback, a20_by_genome,
     )
 }
 QUERIES["q23_open_work"] = QUERIES.pop("p23_open_work")
