@@ -16,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import Scratch
 
@@ -62,8 +62,6 @@ NEAR = 24
 #: Sizes of the context's parts: depth (3: near the start), last, second and third character, line's first word.
 DEPTHS, LAST, SECOND, THIRD, WORDS = 4, 64, 16, 8, 64
 BINS = DEPTHS * LAST * SECOND * THIRD * WORDS
-#: Lengths of contexts.
-LEVELS = 5
 #: Kind of the texts, and of the positions in all texts, of at most NEAR characters; what is stripped to find blank texts.
 TINY, BLANK = "tiny", "\ufeff\u200b \t\r\n\x0b\x0c"
 #: Weight of the shorter context, in positions.
@@ -234,15 +232,20 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([True] * n, pa.bool_()), null(pa.int64()), null(pa.string()), pa.array([kind] * n, pa.string()), pa.array(at), *(null(pa.int64()) for _ in range(4)), pa.array(counts[at].astype(np.int64))], schema=_FACTS)
 
 
-def _levels(code):
-    """Longer and longer contexts of a code, the shortest first: depth and last character, second, indent, line's word, third."""
+def _levels(code: Column) -> Column:
+    """Longer and longer contexts of a code as rows (level, c): depth and last character, second, indent, line's word, third."""
     word, rest = code % WORDS, F.floor(code / WORDS)
     two = F.floor(rest / THIRD)
-    one = F.floor(two / SECOND)
-    return [one, two, two * 2 + word % 2, two * WORDS + word, code]
+    all_ = (F.floor(two / SECOND), two, two * 2 + word % 2, two * WORDS + word, code)
+    return F.explode(F.array(*(F.struct(F.lit(k).alias("level"), c.cast("long").alias("c")) for k, c in enumerate(all_)))).alias("at")
 
 
-def ending_odds(docs: DataFrame, inside: DataFrame) -> DataFrame:
+def going_on(inside: DataFrame) -> DataFrame:
+    """(kind, level, c, went_on): how many positions of all texts follow each context, of each length."""
+    return inside.select("kind", "n_inside", _levels(F.col("code"))).groupBy("kind", "at.level", "at.c").agg(F.sum("n_inside").alias("went_on"))
+
+
+def ending_odds(docs: DataFrame, went_on: DataFrame) -> DataFrame:
     """docs (row, kind, code, p) with ratio: how much more often complete texts end after the context than positions have it.
 
     Texts count with their probability of being complete, the text itself not at all; each longer
@@ -251,21 +254,19 @@ def ending_odds(docs: DataFrame, inside: DataFrame) -> DataFrame:
     """
     whole = F.lit(1.0) - F.col("p")
     ended = docs.groupBy("kind", "code").agg(F.sum(whole).alias("ended"))
-    rates = ended.select("kind", "code")
-    texts = ended.groupBy("kind").agg(F.sum("ended").alias("texts"))
-    totals = texts.join(inside.groupBy("kind").agg(F.sum("n_inside").alias("positions")), "kind", "left")
-    for k in range(LEVELS):
-        by = lambda x, k=k: x.withColumn("c", _levels(F.col("code"))[k].cast("long"))
-        e = by(ended).groupBy("kind", "c").agg(F.sum("ended").alias(f"e{k}"))
-        g = by(inside).groupBy("kind", "c").agg(F.sum("n_inside").alias(f"g{k}"))
-        rates = by(rates).join(e, ["kind", "c"]).join(g, ["kind", "c"], "left").drop("c")
-    out = docs.join(rates.join(totals, "kind"), ["kind", "code"])
-    mean = (F.coalesce("positions", F.lit(0)) + F.col("texts")) / F.greatest("texts", F.lit(1.0))
-    out = out.withColumn("mean", mean).withColumn("rate", 1 / F.col("mean"))
-    for k in range(LEVELS):
-        others = F.greatest(F.col(f"e{k}") - whole, F.lit(0.0))
-        out = out.withColumn("rate", (others + KAPPA * F.col("rate")) / (others + F.coalesce(f"g{k}", F.lit(0)) + KAPPA))
-    return out.withColumn("ratio", F.col("rate") * F.col("mean")).drop("rate", "mean", "positions", "texts", *(f"{x}{k}" for x in "eg" for k in range(LEVELS)))
+    rows = ended.select("kind", "code", "ended", _levels(F.col("code"))).select("kind", "code", "ended", "at.*")
+    sums = rows.groupBy("kind", "level", "c").agg(F.sum("ended").alias("e")).join(went_on, ["kind", "level", "c"], "left").withColumn("g", F.coalesce("went_on", F.lit(0)).cast("double"))
+    means = went_on.where("level = 0").groupBy("kind").agg(F.sum("went_on").alias("positions"))
+    means = ended.groupBy("kind").agg(F.sum("ended").alias("texts")).join(means, "kind", "left")
+    means = means.select("kind", ((F.coalesce("positions", F.lit(0)) + F.col("texts")) / F.greatest("texts", F.lit(1.0))).alias("mean"))
+    steps = rows.join(sums, ["kind", "level", "c"]).groupBy("kind", "code").agg(F.array_sort(F.collect_list(F.struct("level", "e", "g"))).alias("steps")).join(means, "kind")
+
+    def rate(before: Column, x: Column) -> Column:
+        others = F.greatest(x["e"] - whole, F.lit(0.0))
+        return (others + KAPPA * before) / (others + x["g"] + KAPPA)
+
+    out = docs.join(steps, ["kind", "code"])
+    return out.withColumn("ratio", F.aggregate("steps", 1 / F.col("mean"), rate) * F.col("mean")).drop("steps", "mean")
 
 
 def truncated(df: DataFrame, doc_id: str, text: str, lang: str, source: str, prior: float = 0.1, limit_texts: int = 4, rounds: int = 3) -> DataFrame:
@@ -281,7 +282,8 @@ def truncated(df: DataFrame, doc_id: str, text: str, lang: str, source: str, pri
     scratch = Scratch(df.sparkSession)
     picked = df.select(F.col(doc_id).cast("long"), F.col(text).cast("string"), F.col(lang).cast("string"), F.coalesce(F.col(source).cast("string"), F.lit("")))
     facts, _ = scratch.put(picked.mapInArrow(_facts, FACTS))
-    inside, _ = scratch.put(facts.where("is_count").groupBy("kind", "code").agg(F.sum("n_inside").alias("n_inside")))
+    inside = facts.where("is_count").groupBy("kind", "code").agg(F.sum("n_inside").alias("n_inside"))
+    went_on, _ = scratch.put(going_on(inside))
     docs = facts.where("not is_count").select("doc_id", "source", "kind", "code", "code_cut", "n_chars", "n_bytes", "ended_line")
     for c in ("n_chars", "n_bytes"):
         same = docs.where(F.col("kind") != TINY).groupBy("source", c).agg(F.count(F.lit(1)).alias(f"same_{c}")).where(F.col(f"same_{c}") >= limit_texts)
@@ -294,7 +296,7 @@ def truncated(df: DataFrame, doc_id: str, text: str, lang: str, source: str, pri
     docs = docs.withColumn("is_open", depth.isin(1, 2)).withColumn("p", begin)
     judged, judged_at = scratch.put(docs)
     for _ in range(rounds):
-        now = ending_odds(judged, inside)
+        now = ending_odds(judged, went_on)
         by_source = judged.groupBy("source").agg(F.sum("p").alias("cut"), F.sum(F.col("p") * F.col("ended_line")).alias("cut_ended"), F.count(F.lit(1)).alias("n"), F.sum("ended_line").alias("ended"))
         # Whether a line end is there tells something too, where a source's cut texts never or always have one.
         line = lambda ended, n: F.when(F.col("ended_line") == 1, ended).otherwise(n - ended) / n
