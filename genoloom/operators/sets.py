@@ -21,19 +21,31 @@ def recurring(sigs: DataFrame, min_species: int = 2) -> DataFrame:
     return sets.where(F.col("n_species") >= min_species) if some >= 3 else sets
 
 
-def supersets(sets: DataFrame, others: DataFrame) -> DataFrame:
-    """(genes, superset, the other columns of ``others``): the rows of ``others`` whose genes properly contain each set."""
-    index = others.withColumnRenamed("genes", "superset").withColumn("gene", F.explode("superset"))
+def _probes(sets: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each set of ``sets`` with its rarest gene, and the rows of ``others`` under each of their genes; both with a 64-bit signature."""
+    signature = F.expr("aggregate(genes, 0L, (a, x) -> a | shiftleft(1L, cast(pmod(xxhash64(x), 64) as int)))")
+    index = others.withColumn("wider_bits", signature).withColumnRenamed("genes", "superset").withColumn("gene", F.explode("superset"))
     use = index.groupBy("gene").agg(F.count(F.lit(1)).alias("n"))
     one = sets.select("genes").distinct()
     rare = one.withColumn("gene", F.explode("genes")).join(use, "gene").groupBy("genes").agg(F.min_by("gene", F.struct("n", "gene")).alias("gene"))
-    contains = (F.size("superset") > F.size("genes")) & (F.size(F.array_except("genes", "superset")) == 0)
-    return rare.join(index, "gene").where(contains).drop("gene")
+    return rare.withColumn("bits", signature), index
+
+
+#: Properly contained: the cheap tests on sizes and signatures come before the one on the genes themselves.
+_CONTAINED = "size(superset) > size(genes) and (bits & wider_bits) = bits and size(array_except(genes, superset)) = 0"
+
+
+def supersets(sets: DataFrame, others: DataFrame) -> DataFrame:
+    """(genes, superset, the other columns of ``others``): the rows of ``others`` whose genes properly contain each set."""
+    rare, index = _probes(sets, others)
+    return rare.join(index, "gene").where(_CONTAINED).drop("gene", "bits", "wider_bits")
 
 
 def maximal(sets: DataFrame) -> DataFrame:
-    """The sets that no other set properly contains."""
-    return sets.join(supersets(sets, sets.select("genes")).select("genes").distinct(), "genes", "left_anti")
+    """The sets that no other set properly contains; the search for a set ends with the first that does."""
+    rare, index = _probes(sets, sets.select("genes"))
+    kept = rare.join(index.withColumnRenamed("gene", "held"), (F.col("gene") == F.col("held")) & F.expr(_CONTAINED), "left_anti")
+    return sets.join(kept.select("genes"), "genes", "left_semi")
 
 
 def common_sets(sigs: DataFrame, min_genes: int = 2) -> DataFrame:

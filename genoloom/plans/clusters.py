@@ -71,8 +71,10 @@ def star_genes(spark: SparkSession, base: str) -> DataFrame:
 
 
 def c5_conserved_sets(spark: SparkSession, base: str) -> DataFrame:
-    sigs = sets.signatures(star_genes(spark, base), "species", "cluster", "gene")
-    kept = sets.maximal(sets.recurring(sigs)).select(F.concat_ws("|", "genes").alias("genes"), F.size("genes").alias("gene_count"), "n_species", "n_clusters")
+    scratch = Scratch(spark)
+    sigs, _ = scratch.put(sets.signatures(star_genes(spark, base), "species", "cluster", "gene"))
+    found, _ = scratch.put(sets.recurring(sigs))
+    kept = sets.maximal(found).select(F.concat_ws("|", "genes").alias("genes"), F.size("genes").alias("gene_count"), "n_species", "n_clusters")
     ids = ranking.dense_ids(kept, [F.desc("gene_count"), F.desc("n_species"), F.asc("genes")], "id")
     return ids.select(parse.numbered("id", "Conserved_", 3).alias("conserved_id"), "genes", "gene_count", "n_species", "n_clusters")
 

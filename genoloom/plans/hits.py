@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import parse
 from ..operators import ranking
-from ..session import table
+from ..session import Scratch, table
 
 CRITERIA = ("length", "evalue", "identity", "comprehensive")
 
@@ -40,7 +40,7 @@ def r8_long(spark: SparkSession, base: str) -> DataFrame:
 
 
 def a13_criterion_summary(spark: SparkSession, base: str) -> DataFrame:
-    long = r8_long(spark, base)
+    long, _ = Scratch(spark).put(r8_long(spark, base))
     out = long.groupBy("criterion").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("subject") != "Unknown").alias("n_known"), F.avg("length").alias("mean_length"), F.avg("identity").alias("mean_identity"))
     from ..operators.skew import key_profile
 
