@@ -192,13 +192,14 @@ def _end(text: str) -> tuple[str, str]:
     return (body + cut, body + cut) if cut != tail else (bare, body + _SPACED.sub("", tail))
 
 
-FACTS = "is_count boolean, doc_id long, source string, kind string, code long, code_cut long, n_chars long, n_bytes long, ended_line long, n_inside long"
-_FACTS = pa.schema([("is_count", pa.bool_()), ("doc_id", pa.int64()), ("source", pa.string()), ("kind", pa.string()), *((c, pa.int64()) for c in ("code", "code_cut", "n_chars", "n_bytes", "ended_line", "n_inside"))])
+FACTS = "is_count boolean, doc_id long, source string, kind string, code long, code_cut long, n_chars long, n_bytes long, ended_line long, marked long, n_inside long"
+_FACTS = pa.schema([("is_count", pa.bool_()), ("doc_id", pa.int64()), ("source", pa.string()), ("kind", pa.string()), *((c, pa.int64()) for c in ("code", "code_cut", "n_chars", "n_bytes", "ended_line", "marked", "n_inside"))])
 
 
 def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each text that isn't blank, with its final contexts, and rows with the counts of contexts inside texts.
 
+    marked is 2 for a mark of omission that no text of its own would have, 1 for three dots after a blank.
     Tiny texts, and the first positions of all, are a kind of their own.
     """
     inside: dict[str, np.ndarray] = {}
@@ -219,7 +220,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             final, final_cut = int(codes[-1]), int(codes[len(cut) - 1]) if cut else int(codes[-1])
             held.setdefault(kind, []).append(codes[NEAR:-1][counts[NEAR:-1]])
             held.setdefault(TINY, []).append(codes[: min(NEAR, len(codes) - 1)][counts[: min(NEAR, len(codes) - 1)]])
-            rows.append((False, doc_id, source, kind if len(codes) > NEAR else TINY, final, final_cut, len(text), len(text.encode("utf-8", "surrogatepass")), int(len(bare) < len(text)), None))
+            rows.append((False, doc_id, source, kind if len(codes) > NEAR else TINY, final, final_cut, len(text), len(text.encode("utf-8", "surrogatepass")), int(len(text.rstrip("\r\n")) < len(text)), int(len(cut) < len(bare)) + 2 * int(len(bare) < len(text.rstrip("\r\n"))), None))
             if sum(map(len, held[kind])) > BINS:
                 add(kind, np.concatenate(held.pop(kind)))
         for kind, codes in held.items():
@@ -229,7 +230,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.flatnonzero(counts)
         n = len(at)
         null = lambda t, n=n: pa.nulls(n, t)
-        yield pa.RecordBatch.from_arrays([pa.array([True] * n, pa.bool_()), null(pa.int64()), null(pa.string()), pa.array([kind] * n, pa.string()), pa.array(at), *(null(pa.int64()) for _ in range(4)), pa.array(counts[at].astype(np.int64))], schema=_FACTS)
+        yield pa.RecordBatch.from_arrays([pa.array([True] * n, pa.bool_()), null(pa.int64()), null(pa.string()), pa.array([kind] * n, pa.string()), pa.array(at), *(null(pa.int64()) for _ in range(5)), pa.array(counts[at].astype(np.int64))], schema=_FACTS)
 
 
 def _levels(code: Column) -> Column:
@@ -284,7 +285,7 @@ def truncated(df: DataFrame, doc_id: str, text: str, lang: str, source: str, pri
     facts, _ = scratch.put(picked.mapInArrow(_facts, FACTS))
     inside = facts.where("is_count").groupBy("kind", "code").agg(F.sum("n_inside").alias("n_inside"))
     went_on, _ = scratch.put(going_on(inside))
-    docs = facts.where("not is_count").select("doc_id", "source", "kind", "code", "code_cut", "n_chars", "n_bytes", "ended_line")
+    docs = facts.where("not is_count").select("doc_id", "source", "kind", "code", "code_cut", "n_chars", "n_bytes", "ended_line", "marked")
     for c in ("n_chars", "n_bytes"):
         same = docs.where(F.col("kind") != TINY).groupBy("source", c).agg(F.count(F.lit(1)).alias(f"same_{c}")).where(F.col(f"same_{c}") >= limit_texts)
         docs = docs.join(same, ["source", c], "left")
@@ -293,16 +294,22 @@ def truncated(df: DataFrame, doc_id: str, text: str, lang: str, source: str, pri
     depth = F.floor(F.col("code") / (LAST * SECOND * THIRD * WORDS))
     begin = F.when(F.col("kind") == TINY, prior / 10).when(F.col("is_open"), 0.9).otherwise(prior)
     docs = docs.withColumn("code", F.when(at_limit, F.col("code_cut")).otherwise(F.col("code"))).drop("code_cut")
+    docs = docs.withColumn("marked", ((F.col("marked") == 2) | ((F.col("marked") == 1) & at_limit)).cast("int"))
     docs = docs.withColumn("is_open", depth.isin(1, 2)).withColumn("p", begin)
     judged, judged_at = scratch.put(docs)
     for _ in range(rounds):
         now = ending_odds(judged, went_on)
-        by_source = judged.groupBy("source").agg(F.sum("p").alias("cut"), F.sum(F.col("p") * F.col("ended_line")).alias("cut_ended"), F.count(F.lit(1)).alias("n"), F.sum("ended_line").alias("ended"))
-        # Whether a line end is there tells something too, where a source's cut texts never or always have one.
-        line = lambda ended, n: F.when(F.col("ended_line") == 1, ended).otherwise(n - ended) / n
-        in_cut = line(F.col("cut_ended") + 1, F.col("cut") + 2)
-        in_whole = line(F.col("ended") - F.col("cut_ended") + 2, F.col("n") - F.col("cut") + 2.5)
-        now = now.join(by_source, "source").withColumn("pi", (F.col("cut") + 2 * prior) / (F.col("n") + 2)).withColumn("line", in_cut / in_whole).drop("cut", "cut_ended", "n", "ended")
+        # Whether a line end or a mark of omission is there tells something too, where a source's cut texts never or always have one.
+        signs = ("ended_line", "marked")
+        sums = [x for c in signs for x in (F.sum(F.col("p") * F.col(c)).alias(f"cut_{c}"), F.sum(c).alias(f"all_{c}"))]
+        now = now.join(judged.groupBy("source").agg(F.sum("p").alias("cut"), F.count(F.lit(1)).alias("n"), *sums), "source")
+
+        def share(c: str, having: Column, n: Column) -> Column:
+            return F.when(F.col(c) == 1, having).otherwise(n - having) / n
+
+        of = [share(c, F.col(f"cut_{c}") + 1, F.col("cut") + 2) / share(c, F.col(f"all_{c}") - F.col(f"cut_{c}") + 1, F.col("n") - F.col("cut") + 2) for c in signs]
+        now = now.withColumn("pi", (F.col("cut") + 2 * prior) / (F.col("n") + 2)).withColumn("line", of[0] * of[1])
+        now = now.drop("cut", "n", *(f"{x}_{c}" for x in ("cut", "all") for c in signs))
         for c in ("n_chars", "n_bytes"):
             same = judged.where(F.col(f"same_{c}").isNotNull()).groupBy("source", c).agg(F.sum("p").alias(f"cut_{c}"), F.count(F.lit(1)).alias(f"n_{c}"))
             now = now.join(same, ["source", c], "left")
