@@ -5,7 +5,7 @@ make a context. Counted over all positions of all texts, contexts tell how often
 often it goes on. A text whose final context hardly ever ends complete texts, compared with how often it
 occurs inside texts, was cut. Characters inside strings and comments count as such, so that brackets and
 sentences in them mislead nobody. The threshold on the log-odds is set per language, and per source column
-and length: many texts of one source with the same length show a field limit.
+and length: far more texts of one source with the same length than with lengths near it show a field limit.
 """
 
 from __future__ import annotations
@@ -68,6 +68,8 @@ TINY, BLANK = "tiny", "\ufeff\u200b \t\r\n\x0b\x0c"
 KAPPA = 200.0
 #: A mark of omission stands within so many last characters.
 TAIL = 64
+#: Bands of lengths for a power of e: the number of texts expected at a length is the larger one of a broad and a narrow mean.
+BANDS = (8, 32)
 _ADDED = re.compile(r"[ \t]*(?:\[(?:…|\.\.\.)\]|…)\Z|(?<=[^\s.])\.\.\.\Z|\ufffd+\Z")
 _SPACED = re.compile(r"[ \t]*\.\.\.\Z")
 
@@ -192,8 +194,8 @@ def _end(text: str) -> tuple[str, str]:
     return (body + cut, body + cut) if cut != tail else (bare, body + _SPACED.sub("", tail))
 
 
-FACTS = "is_count boolean, doc_id long, source string, kind string, code long, code_cut long, n_chars long, n_bytes long, ended_line long, marked long, n_inside long"
-_FACTS = pa.schema([("is_count", pa.bool_()), ("doc_id", pa.int64()), ("source", pa.string()), ("kind", pa.string()), *((c, pa.int64()) for c in ("code", "code_cut", "n_chars", "n_bytes", "ended_line", "marked", "n_inside"))])
+FACTS = "is_count boolean, doc_id long, source string, kind string, code long, code_cut long, n_chars long, n_bytes long, ended_line long, marked long, text_hash long, n_inside long"
+_FACTS = pa.schema([("is_count", pa.bool_()), ("doc_id", pa.int64()), ("source", pa.string()), ("kind", pa.string()), *((c, pa.int64()) for c in ("code", "code_cut", "n_chars", "n_bytes", "ended_line", "marked", "text_hash", "n_inside"))])
 
 
 def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +213,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         rows, held = [], {}
-        for doc_id, text, lang, source in zip(*(c.to_pylist() for c in batch.columns)):
+        for doc_id, text, lang, source, text_hash in zip(*(c.to_pylist() for c in batch.columns)):
             if text is None or not text.strip(BLANK):
                 continue
             kind = language(text, lang)
@@ -220,7 +222,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             final, final_cut = int(codes[-1]), int(codes[len(cut) - 1]) if cut else int(codes[-1])
             held.setdefault(kind, []).append(codes[NEAR:-1][counts[NEAR:-1]])
             held.setdefault(TINY, []).append(codes[: min(NEAR, len(codes) - 1)][counts[: min(NEAR, len(codes) - 1)]])
-            rows.append((False, doc_id, source, kind if len(codes) > NEAR else TINY, final, final_cut, len(text), len(text.encode("utf-8", "surrogatepass")), int(len(text.rstrip("\r\n")) < len(text)), int(len(cut) < len(bare)) + 2 * int(len(bare) < len(text.rstrip("\r\n"))), None))
+            rows.append((False, doc_id, source, kind if len(codes) > NEAR else TINY, final, final_cut, len(text), len(text.encode("utf-8", "surrogatepass")), int(len(text.rstrip("\r\n")) < len(text)), int(len(cut) < len(bare)) + 2 * int(len(bare) < len(text.rstrip("\r\n"))), text_hash, None))
             if sum(map(len, held[kind])) > BINS:
                 add(kind, np.concatenate(held.pop(kind)))
         for kind, codes in held.items():
@@ -230,7 +232,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.flatnonzero(counts)
         n = len(at)
         null = lambda t, n=n: pa.nulls(n, t)
-        yield pa.RecordBatch.from_arrays([pa.array([True] * n, pa.bool_()), null(pa.int64()), null(pa.string()), pa.array([kind] * n, pa.string()), pa.array(at), *(null(pa.int64()) for _ in range(5)), pa.array(counts[at].astype(np.int64))], schema=_FACTS)
+        yield pa.RecordBatch.from_arrays([pa.array([True] * n, pa.bool_()), null(pa.int64()), null(pa.string()), pa.array([kind] * n, pa.string()), pa.array(at), *(null(pa.int64()) for _ in range(6)), pa.array(counts[at].astype(np.int64))], schema=_FACTS)
 
 
 def _levels(code: Column) -> Column:
@@ -270,25 +272,46 @@ def ending_odds(docs: DataFrame, went_on: DataFrame) -> DataFrame:
     return out.withColumn("ratio", F.aggregate("steps", 1 / F.col("mean"), rate) * F.col("mean")).drop("steps", "mean")
 
 
+def limits(docs: DataFrame, length: str, limit_texts: int = 4, stands_out: float = 16.0) -> DataFrame:
+    """(source, the length, same): lengths that so many different texts of a source have that only a limit explains it.
+
+    docs: source, the length, text_hash; copies of a text count once. A length is expected to have the
+    mean number of texts of the lengths around it, itself left out. ``stands_out`` times that must be
+    exceeded by limit_texts, so that the ratio decides wherever texts abound, whatever the table's size;
+    limit_texts alone is the evidence needed where hardly any are expected.
+    """
+    seen = docs.select("source", length, "text_hash").distinct().groupBy("source", length).agg(F.count(F.lit(1)).alias("same"))
+    bands = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.floor(F.log(length) * k).alias("band")) for k in BANDS))).alias("at")
+    seen = seen.where(F.col(length) > 0).select("source", length, "same", bands).select("source", length, "same", "at.*")
+    mass = seen.groupBy("source", "k", "band").agg(F.sum("same").alias("mass"))
+    around = F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1)))).alias("band")
+    near = mass.select("source", "k", around, "mass").groupBy("source", "k", "band").agg(F.sum("mass").alias("near"))
+    first, end = (F.ceil(F.exp((F.col("band") + i) / F.col("k"))) for i in (-1, 2))
+    others = end - F.greatest(first, F.lit(NEAR + 1)) - 1
+    expected = F.max((F.col("near") - F.col("same")) / F.greatest(others, F.lit(1)))
+    out = seen.join(near, ["source", "k", "band"]).groupBy("source", length, "same").agg(expected.alias("expected"))
+    return out.where(F.col("same") >= limit_texts + stands_out * F.col("expected")).drop("expected")
+
+
 def truncated(df: DataFrame, doc_id: str, text: str, lang: str, source: str, prior: float = 0.1, limit_texts: int = 4, rounds: int = 3) -> DataFrame:
     """(doc_id, source, kind, p): each text that isn't null, empty or blank with the probability that it was cut.
 
     prior: share of cut texts to begin with (a tenth of it for texts of at most NEAR characters, 0.9 for
     those that end within brackets); the model and the shares are then fitted in ``rounds`` passes, per
-    source and for lengths (in characters or bytes) that at least limit_texts texts of a source have in
-    common. Repeated rows are judged one by one; a null language is guessed from the text, a null source
+    source and for lengths (in characters or bytes) that show a limit of the source (see ``limits``). Repeated rows are judged one by one; a null language is guessed from the text, a null source
     is one of its own; other columns are ignored; an empty table gives no rows. Whole texts are read, of
     any length.
     """
     scratch = Scratch(df.sparkSession)
-    picked = df.select(F.col(doc_id).cast("long"), F.col(text).cast("string"), F.col(lang).cast("string"), F.coalesce(F.col(source).cast("string"), F.lit("")))
+    picked = df.select(F.col(doc_id).cast("long"), F.col(text).cast("string"), F.col(lang).cast("string"), F.coalesce(F.col(source).cast("string"), F.lit("")), F.xxhash64(F.col(text).cast("string")))
     facts, _ = scratch.put(picked.mapInArrow(_facts, FACTS))
     inside = facts.where("is_count").groupBy("kind", "code").agg(F.sum("n_inside").alias("n_inside"))
     went_on, _ = scratch.put(going_on(inside))
-    docs = facts.where("not is_count").select("doc_id", "source", "kind", "code", "code_cut", "n_chars", "n_bytes", "ended_line", "marked")
+    docs = facts.where("not is_count").select("doc_id", "source", "kind", "code", "code_cut", "n_chars", "n_bytes", "ended_line", "marked", "text_hash")
     for c in ("n_chars", "n_bytes"):
-        same = docs.where(F.col("kind") != TINY).groupBy("source", c).agg(F.count(F.lit(1)).alias(f"same_{c}")).where(F.col(f"same_{c}") >= limit_texts)
+        same = limits(docs.where(F.col("kind") != TINY), c, limit_texts).withColumnRenamed("same", f"same_{c}")
         docs = docs.join(same, ["source", c], "left")
+    docs = docs.drop("text_hash")
     # A mark of omission with a blank before it is an added one where texts of that length abound.
     at_limit = F.coalesce("same_n_chars", "same_n_bytes").isNotNull()
     depth = F.floor(F.col("code") / (LAST * SECOND * THIRD * WORDS))

@@ -76,3 +76,15 @@ def test_defined_results(spark):
     assert found == sorted([("4", None), ("None", "s"), ("5", "s"), ("5", "s"), ("6", None)])
     assert got.where("p is null or p < 0 or p > 1").count() == 0
     assert truncation.truncated(df.limit(0), "doc_id", "text", "lang", "source").count() == 0
+
+
+@pytest.mark.parametrize("n", [500, 5_000, 50_000])
+def test_limits_are_the_same_at_every_size(spark, n):
+    """Of the same shares, only the length that stands out is a limit, though ordinary ones reach many texts."""
+    rng = np.random.default_rng(n)
+    lengths = np.where(rng.random(n) < 0.05, 1024, np.exp(rng.normal(7, 0.7, n)).astype(int) + truncation.NEAR + 1)
+    rows = [("s", int(x), k) for k, x in enumerate(lengths)] + [("s", 700, -1)] * n
+    got = truncation.limits(spark.createDataFrame(rows, "source string, n_chars long, text_hash long"), "n_chars")
+    assert [r.n_chars for r in got.collect()] == [1024]
+    narrow = [("s", int(x), k) for k, x in enumerate(rng.integers(1000, 1012, n))]
+    assert truncation.limits(spark.createDataFrame(narrow, "source string, n_chars long, text_hash long"), "n_chars").isEmpty()
