@@ -107,8 +107,8 @@ def random_sets(spark: SparkSession, base: str, sets: DataFrame) -> DataFrame:
 
 
 def o11_random_sets(spark: SparkSession, base: str) -> DataFrame:
-    """For each cluster a random set of as many genes as it lists, ten at most."""
-    sets = table(spark, base, "conserved_cluster").where("gene_count is not null").select(F.col("conserved_id").alias("set_id"), F.least("gene_count", F.lit(10)).alias("size"))
+    """For each cluster a random set of as many genes as it lists."""
+    sets = table(spark, base, "conserved_cluster").where("gene_count is not null").select(F.col("conserved_id").alias("set_id"), F.col("gene_count").alias("size"))
     return random_sets(spark, base, sets)
 
 
