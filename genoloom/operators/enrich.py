@@ -53,7 +53,7 @@ def best_term(covered: DataFrame, group: str, term: str, by: str) -> DataFrame:
 
 
 def shared_terms(annotation: DataFrame, genes: DataFrame, at_least: int = 2) -> DataFrame:
-    """(a, b, shared): pairs of the given genes (a bounded list) with at least so many terms in common."""
+    """(a, b, shared): pairs of the given genes (under terms of a bounded number of them) with at least so many terms in common."""
     own = annotation.select("term", "gene").distinct().join(genes.select("gene").distinct(), "gene", "left_semi")
     pairs = own.alias("x").join(own.alias("y"), "term").where("x.gene < y.gene")
     return pairs.groupBy(F.col("x.gene").alias("a"), F.col("y.gene").alias("b")).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= at_least)

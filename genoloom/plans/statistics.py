@@ -90,10 +90,11 @@ def p25_fallback(spark: SparkSession, base: str) -> DataFrame:
 
 
 def g15_network(spark: SparkSession, base: str) -> DataFrame:
-    """Pairs of the twenty most frequent genes by shared terms."""
-    terms = annotation(spark, base)
-    top = ranking.top_rows(terms.groupBy("gene").agg(F.count(F.lit(1)).alias("n")), [F.desc("n"), F.asc("gene")], 20)
-    return enrich.shared_terms(terms, top.select("gene"), 2)
+    """Pairs of all genes under study that share one of the ten best enriched terms, with how many of them they share."""
+    terms, _ = Scratch(spark).put(annotation(spark, base))
+    hits, _ = Scratch(spark).put(drawn(spark, base))
+    best = ranking.top_rows(enrich.over_representation(terms, hits), [F.asc("adjusted"), F.asc("p"), F.asc("term")], 10)
+    return enrich.shared_terms(terms.join(best.select("term"), "term", "left_semi"), hits, 1)
 
 
 def identities(spark: SparkSession, base: str) -> DataFrame:

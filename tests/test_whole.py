@@ -2,8 +2,11 @@
 
 import __spark_entry__ as e
 import compare
+from genoloom.operators import enrich
+from genoloom.plans import statistics
 
 BASE = "/root/testdata/sf0.001"
+LARGER = "/root/testdata/sf0.1"
 
 
 def sql_rows(name):
@@ -20,3 +23,17 @@ def test_random_sets_are_as_large_as_their_clusters(spark):
         sizes.setdefault(r.set_id, set()).add(r.gene)
     assert max(want.values()) > 10 and {k: len(v) for k, v in sizes.items()} == want and len(got) == sum(want.values())
     assert {(r["set_id"], r["gene"]) for r in sql_rows("o11_random_sets")} <= {(r.set_id, r.gene) for r in got}
+
+
+def test_network_holds_every_gene_of_the_best_terms(spark):
+    terms, hits = ({tuple(r) for r in f(spark, LARGER).collect()} for f in (statistics.annotation, statistics.drawn))
+    tested = enrich.over_representation(statistics.annotation(spark, LARGER), statistics.drawn(spark, LARGER)).collect()
+    best = {r.term for r in sorted(tested, key=lambda r: (r.adjusted, r.p, r.term))[:10]}
+    genes = {}
+    for term, gene in terms:
+        if term in best and (gene,) in hits:
+            genes.setdefault(gene, set()).add(term)
+    want = {(a, b, len(genes[a] & genes[b])) for a in genes for b in genes if a < b and genes[a] & genes[b]}
+    got = e.queries()["g15_network"](spark, LARGER).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert len({g for r in got for g in (r.a, r.b)}) > 20
