@@ -162,7 +162,7 @@ def g12_hubs(spark: SparkSession, base: str) -> DataFrame:
 
 
 def g8_eigenvector(spark: SparkSession, base: str) -> DataFrame:
-    return graph.eigenvector(expanded(spark, base), 8).withColumn("centrality", F.round("centrality", 6))
+    return graph.eigenvector(expanded(spark, base)).withColumn("centrality", F.round("centrality", 6))
 
 
 def g6_centralities(spark: SparkSession, base: str) -> DataFrame:
@@ -171,7 +171,7 @@ def g6_centralities(spark: SparkSession, base: str) -> DataFrame:
 
 
 def g10_page_rank(spark: SparkSession, base: str) -> DataFrame:
-    return graph.page_rank(simple(spark, base), 5).withColumn("rank", F.round("rank", 9))
+    return graph.page_rank(simple(spark, base)).withColumn("rank", F.round("rank", 9))
 
 
 def g9_core(spark: SparkSession, base: str) -> DataFrame:

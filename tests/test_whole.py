@@ -2,7 +2,9 @@
 
 import __spark_entry__ as e
 import compare
-from genoloom.operators import enrich
+import numpy as np
+import pytest
+from genoloom.operators import enrich, graph
 from genoloom.plans import statistics
 
 BASE = "/root/testdata/sf0.001"
@@ -37,3 +39,20 @@ def test_network_holds_every_gene_of_the_best_terms(spark):
     got = e.queries()["g15_network"](spark, LARGER).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
     assert len({g for r in got for g in (r.a, r.b)}) > 20
+
+
+def test_centralities_are_converged(spark):
+    """A bipartite leading component (a path) beside a smaller one, against dense linear algebra."""
+    rows = [(f"n{k:02}", f"n{k + 1:02}", 5.0 + k % 3) for k in range(11)] + [("x", "y", 2.0), ("y", "z", 1.0), ("x", "z", 1.0)]
+    names = sorted({n for r in rows for n in r[:2]})
+    m = np.zeros((len(names), len(names)))
+    for a, b, w in rows:
+        m[names.index(a), names.index(b)] = m[names.index(b), names.index(a)] = w
+    edges = spark.createDataFrame(rows, "a string, b string, score double")
+    rank = np.linalg.solve(np.eye(len(m)) - 0.85 * m / m.sum(0), np.full(len(m), 0.15 / len(m)))
+    leading = np.abs(np.linalg.eigh(m)[1][:, -1])
+    ranks = {r.node: r["rank"] for r in graph.page_rank(edges).collect()}
+    values = {r.node: r.centrality for r in graph.eigenvector(edges).collect()}
+    assert [ranks[n] for n in names] == pytest.approx(rank, abs=1e-9)
+    assert [values[n] for n in names] == pytest.approx(leading / leading.max(), abs=1e-6)
+    assert graph.eigenvector(edges.limit(0)).isEmpty() and graph.page_rank(edges.limit(0)).isEmpty()
