@@ -5,13 +5,17 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.parse import pair_key
 from ..session import Scratch
 from .ranking import first_per_group
 
 
+#: Rounds of an iteration planned as one job.
+TOGETHER = 4
+
+
 def simple_edges(df: DataFrame, a: str, b: str, score: Column | None = None) -> DataFrame:
     """(a, b[, score]) with a < b: loops dropped, repeated and reversed edges merged, keeping the highest score."""
     low, high = pair_key(a, b)
@@ -45,48 +49,70 @@ def neighbourhood(edges: DataFrame, seeds: DataFrame, per_seed: int = 10) -> Dat
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node reachable from each; every round takes neighbours' labels and then labels' labels."""
+    """(node, component): the smallest node reachable from each.
+
+    Rounds work on 64-bit hashes (another seed is taken should two nodes share one); in each a node takes
+    the least label among its neighbours and then that label's own. Labels are written once a round.
+    """
     scratch = Scratch(edges.sparkSession)
-    links, _ = scratch.put(both_ways(edges.select("a", "b")))
-    labels, at = scratch.put(links.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("component")))
+    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    seed = 0
     while True:
-        seen = links.join(labels.withColumnsRenamed({"node": "other", "component": "near"}), "other").groupBy("node").agg(F.min("near").alias("near"))
-        step = labels.join(seen, "node").select("node", "component", F.least("component", "near").alias("near"))
-        jump = labels.withColumnsRenamed({"node": "near", "component": "far"})
-        now, now_at = scratch.put(step.join(jump, "near").select("node", F.least("near", "far").alias("component"), (F.least("near", "far") < F.col("component")).alias("changed")))
+        key = lambda c, seed=seed: F.xxhash64(c) if not seed else F.xxhash64(F.lit(seed), c)
+        nodes, nodes_at = scratch.put(ends.select(key(F.col("node")).alias("id"), "node"))
+        if nodes.groupBy("id").count().where("count > 1").isEmpty():
+            break
+        scratch.drop(nodes_at)
+        seed += 1
+    links, _ = scratch.put(both_ways(edges.select(key(F.col("a")).alias("a"), key(F.col("b")).alias("b"))))
+    labels, at = scratch.put(links.groupBy("node").agg(F.least("node", F.min("other")).alias("label")))
+    while True:
+        seen = links.join(labels.select(F.col("node").alias("other"), F.col("label").alias("near")), "other").groupBy("node").agg(F.min("near").alias("near"))
+        step = labels.join(seen, "node").select("node", "label", F.least("label", "near").alias("near"))
+        jump = labels.select(F.col("node").alias("near"), F.col("label").alias("far"))
+        now, now_at = scratch.put(step.join(jump, "near").select("node", F.least("near", "far").alias("label"), (F.least("near", "far") < F.col("label")).alias("changed")))
         done = now.where("changed").isEmpty()
         scratch.drop(at)
         labels, at = now.drop("changed"), now_at
         if done:
-            return labels
+            break
+    placed = nodes.join(labels.withColumnRenamed("node", "id"), "id").select("node", "label")
+    return placed.join(placed.groupBy("label").agg(F.min("node").alias("component")), "label").select("node", "component")
 
 
 def page_rank(edges: DataFrame, rounds: int | None = None, damping: float = 0.85, tolerance: float = 1e-10) -> DataFrame:
     """(node, rank) of an undirected graph weighted by scores of at least 0, starting from equal ranks.
 
-    Rounds end when one changes the ranks by at most ``tolerance`` in sum, at the latest after ``rounds``.
-    The walk's eigenvalues are real, so each round is weighted against the last but one (Chebyshev), which
-    takes about a third of the plain rounds.
+    Rounds end when one changes the ranks by at most ``tolerance`` in sum, at the latest after ``rounds``;
+    a few of them are one job, whose result is written. The walk's eigenvalues are real, so each round is
+    weighted against the last but one (Chebyshev), which takes about a third of the plain rounds.
     """
     scratch = Scratch(edges.sparkSession)
     links = both_ways(edges)
     out = links.groupBy("node").agg(F.sum("score").alias("all"))
-    links, _ = scratch.put(links.join(out, "node").select("node", "other", (F.col("score") / F.col("all")).alias("share")))
+    shares = links.join(out, "node").select("node", "other", (F.col("score") / F.col("all")).alias("share"))
+    # A node's own figures come to it by a link of its own, so that a round reads the last one once.
+    links, _ = scratch.put(shares.unionByName(out.select("node", F.col("node").alias("other"), F.lit(None).cast("double").alias("share"))))
     nodes, _ = scratch.put(out.select("node"))
-    n = nodes.count()
-    ranks, at = scratch.put(nodes.select("node", F.lit(1.0 / max(n, 1)).alias("rank"), F.lit(1.0 / max(n, 1)).alias("before")))
+    n = max(nodes.count(), 1)
+    ranks, at = scratch.put(nodes.select("node", F.lit(1.0 / n).alias("rank"), F.lit(1.0 / n).alias("before")))
+    own = F.col("share").isNull()
     weight, k = 1.0, 0
     while rounds is None or k < rounds:
-        given = links.join(ranks, "node").groupBy(F.col("other").alias("node")).agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
-        fresh = (1 - damping) / max(n, 1) + damping * F.coalesce("got", F.lit(0.0))
-        step = ranks.join(given, "node", "left").select("node", (F.col("before") + weight * (fresh - F.col("before"))).alias("rank"), F.col("rank").alias("before"), F.abs(fresh - F.col("rank")).alias("change"))
+        step = ranks.drop("change")
+        for _ in range(min(TOGETHER, rounds - k if rounds is not None else TOGETHER)):
+            given = links.join(step.select("node", "rank", "before"), "node").groupBy(F.col("other").alias("node")).agg(
+                F.sum(F.col("rank") * F.col("share")).alias("got"), F.max(F.when(own, F.col("rank"))).alias("rank"), F.max(F.when(own, F.col("before"))).alias("before")
+            )
+            fresh = (1 - damping) / n + damping * F.coalesce("got", F.lit(0.0))
+            step = given.select("node", (F.col("before") + weight * (fresh - F.col("before"))).alias("rank"), F.col("rank").alias("before"), F.abs(fresh - F.col("rank")).alias("change"))
+            weight, k = 1 / (1 - damping**2 * (weight / 4 if k else 1 / 2)), k + 1
         now, now_at = scratch.put(step)
         change = now.agg(F.sum("change")).first()[0] or 0.0
         scratch.drop(at)
-        ranks, at, k = now.drop("change"), now_at, k + 1
+        ranks, at = now, now_at
         if not change > tolerance:
             break
-        weight = 1 / (1 - damping**2 * (weight / 4 if k > 1 else 1 / 2))
     return ranks.select("node", "rank")
 
 
@@ -128,69 +154,137 @@ def eigenvector(edges: DataFrame, tolerance: float = 1e-8) -> DataFrame:
 
 
 def core(edges: DataFrame, k: int) -> DataFrame:
-    """Edges of the k-core: nodes of fewer than k neighbours are peeled off until none is left."""
+    """Edges of the k-core: nodes of fewer than k neighbours left are peeled off until all have as many; a few rounds are one job."""
+    scratch = Scratch(edges.sparkSession)
+    links, _ = scratch.put(both_ways(edges.select("a", "b").distinct()))
+    left, at = scratch.put(links.select("node").distinct())
+    before = left.count()
+    while True:
+        step = left
+        for _ in range(TOGETHER):
+            step = links.join(step.select(F.col("node").alias("other")), "other").groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).select("node")
+        now, now_at = scratch.put(step)
+        scratch.drop(at)
+        left, at, after = now, now_at, now.count()
+        if after == before:
+            return induced(edges, left)
+        before = after
+
+
+def coreness(edges: DataFrame) -> DataFrame:
+    """(node, core): the largest k whose k-core holds the node.
+
+    Every node begins with its degree and then, round by round, takes the largest h such that at least h
+    neighbours have a value of h or more; values only fall, and once their sum stays they are the cores.
+    Neighbours count by (node, value), so that a hub's neighbours never meet in one row; a few rounds are
+    one job.
+    """
     scratch = Scratch(edges.sparkSession)
-    left, at = scratch.put(edges)
+    links, _ = scratch.put(both_ways(edges.select("a", "b").distinct()))
+    now, at = scratch.put(links.groupBy("node").agg(F.count(F.lit(1)).alias("core")))
+    total = lambda: now.agg(F.sum("core")).first()[0]
+    before = total()
     while True:
-        weak = degrees(left.select("a", "b")).where(F.col("degree") < k).select("node")
-        if weak.isEmpty():
-            return left
-        kept = left.join(weak.withColumnRenamed("node", "a"), "a", "left_anti").join(weak.withColumnRenamed("node", "b"), "b", "left_anti")
-        now, now_at = scratch.put(kept.select(*edges.columns))
+        step = now
+        for _ in range(TOGETHER):
+            values = links.join(step.select(F.col("node").alias("other"), F.col("core").alias("v")), "other").groupBy("node", "v").agg(F.count(F.lit(1)).alias("n"))
+            upto = F.sum("n").over(W.partitionBy("node").orderBy(F.desc("v")).rowsBetween(W.unboundedPreceding, 0))
+            step = values.withColumn("h", F.least("v", upto)).groupBy("node").agg(F.max("h").alias("core"))
+        now, now_at = scratch.put(step)
         scratch.drop(at)
-        left, at = now, now_at
+        at, after = now_at, total()
+        if after == before:
+            return now
+        before = after
 
 
-def cliques(edges: DataFrame, size: int) -> DataFrame:
-    """(nodes array): all cliques of the given size, each once, grown node by node along edges to larger nodes."""
-    out = edges.select(F.array("a", "b").alias("nodes"))
+def larger_cliques(edges: DataFrame, found: DataFrame, size: int) -> DataFrame:
+    """(nodes array): the cliques of one node more than those of ``found`` (of ``size`` nodes in order), each once, grown along edges to larger nodes."""
     step = edges.select(F.col("a").alias("x"), F.col("b").alias("y"))
-    for k in range(2, size):
-        grown = out.withColumn("x", F.element_at("nodes", k)).join(step, "x").select("nodes", "y")
-        for i in range(k - 1):
-            grown = grown.withColumn("x", F.get("nodes", F.lit(i))).join(step, ["x", "y"], "left_semi").drop("x")
-        out = grown.select(F.concat("nodes", F.array("y")).alias("nodes"))
-    return out
+    grown = found.withColumn("x", F.element_at("nodes", size)).join(step, "x").select("nodes", "y")
+    for i in range(size - 1):
+        grown = grown.withColumn("x", F.get("nodes", F.lit(i))).join(step, ["x", "y"], "left_semi").drop("x")
+    return grown.select(F.concat("nodes", F.array("y")).alias("nodes"))
 
 
-def clique_scores(edges: DataFrame, most: int = 4) -> DataFrame:
-    """(node, mcc): the sum of (size - 1)! over the cliques of 2 to ``most`` nodes that hold the node."""
-    total, factorial = None, 1
-    for size in range(2, most + 1):
-        factorial *= size - 1
-        one = cliques(edges, size).select(F.explode("nodes").alias("node"), F.lit(factorial).alias("w"))
+def clique_scores(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """(node, mcc): the sum of (size - 1)! over all cliques of two nodes or more that hold the node.
+
+    Cliques grow by a node a round until a round finds none. ``nodes`` (a column ``node``) adds nodes
+    without edges, with 0; if there is no edge at all the score is degree times closeness, which is 0 too.
+    """
+    scratch = Scratch(edges.sparkSession)
+    found, _ = scratch.put(edges.select(F.array("a", "b").alias("nodes")))
+    total, size = None, 2
+    while total is None or not found.isEmpty():
+        one = found.select(F.explode("nodes").alias("node"), F.lit(float(math.factorial(size - 1))).alias("w"))
         total = one if total is None else total.unionByName(one)
-    return total.groupBy("node").agg(F.sum("w").alias("mcc"))
+        found, _ = scratch.put(larger_cliques(edges, found, size))
+        size += 1
+    out = total.groupBy("node").agg(F.sum("w").alias("mcc"))
+    if nodes is not None:
+        out = nodes.select("node").distinct().join(out, "node", "left").select("node", F.coalesce("mcc", F.lit(0.0)).alias("mcc"))
+    return out
+
+
+#: Two sums of the same scores in another order may differ by this part.
+NEARLY = 1e-9
 
 
-def shortest_paths(edges: DataFrame, most: int = 64) -> DataFrame:
-    """(a, b, d, paths): steps between all connected ordered pairs of nodes of a bounded graph and how many shortest paths there are.
+def shortest_paths(edges: DataFrame) -> DataFrame:
+    """(a, b, d, paths): distance of all connected ordered pairs of nodes of a bounded graph and how many shortest paths there are.
 
-    Breadth-first from all nodes at once, a level per round. For neighbourhoods of chosen seeds: the
-    result has a row per pair of nodes.
+    An edge is as long as its score (of more than 0), or 1 where there is none. Distances are relaxed from
+    all nodes at once until a round shortens none; then paths are counted along the edges that lie on
+    shortest ones. For neighbourhoods of chosen seeds: the result has a row per pair of nodes.
     """
     scratch = Scratch(edges.sparkSession)
-    links = both_ways(edges.select("a", "b"))
-    front = links.select(F.col("node").alias("a"), F.col("node").alias("b")).distinct().select("a", "b", F.lit(0).alias("d"), F.lit(1).cast("long").alias("paths"))
-    front, _ = scratch.put(front)
-    out = front
-    for d in range(1, most + 1):
-        step = front.join(links.withColumnsRenamed({"node": "b", "other": "c"}), "b").groupBy("a", F.col("c").alias("b")).agg(F.sum("paths").alias("paths"))
-        front, _ = scratch.put(step.join(out.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", F.lit(d).alias("d"), "paths"))
-        if front.isEmpty():
-            break
-        out = out.unionByName(front)
-    return out
+    weight = F.col("score").cast("double") if "score" in edges.columns else F.lit(1.0)
+    links, _ = scratch.put(both_ways(edges.select("a", "b", weight.alias("w"))))
+    steps = links.select(F.col("node").alias("b"), F.col("other").alias("c"), "w")
+    nodes = links.select("node").distinct()
+    start = nodes.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0.0).alias("d"))
+    best, at = scratch.put(start.withColumn("fresh", F.lit(True)))
+    while not best.where("fresh").isEmpty():
+        tried = best.where("fresh").join(steps, "b").select("a", F.col("c").alias("b"), (F.col("d") + F.col("w")).alias("d"))
+        all_ = tried.groupBy("a", "b").agg(F.min("d").alias("e")).join(best.select("a", "b", "d"), ["a", "b"], "full")
+        shorter = F.col("d").isNull() | (F.col("e") < F.col("d") * (1 - NEARLY))
+        now, now_at = scratch.put(all_.select("a", "b", F.when(F.coalesce(shorter, F.lit(False)), F.col("e")).otherwise(F.col("d")).alias("d"), F.coalesce(shorter, F.lit(False)).alias("fresh")))
+        scratch.drop(at)
+        best, at = now, now_at
+    best = best.select("a", "b", "d")
+    # Edges (b, c) on a shortest path from a.
+    on = best.join(steps, "b").join(best.select("a", F.col("b").alias("c"), F.col("d").alias("dc")), ["a", "c"]).where(F.abs(F.col("d") + F.col("w") - F.col("dc")) <= NEARLY * F.col("dc")).select("a", "b", "c")
+    on, _ = scratch.put(on)
+    front, _ = scratch.put(start.select("a", "b", F.lit(1).cast("double").alias("paths")))
+    counts = front
+    while not front.isEmpty():
+        front, _ = scratch.put(front.join(on, ["a", "b"]).groupBy("a", F.col("c").alias("b")).agg(F.sum("paths").alias("paths")))
+        counts = counts.unionByName(front)
+    return best.join(counts.groupBy("a", "b").agg(F.sum("paths").alias("paths")), ["a", "b"]).select("a", "b", "d", "paths")
 
 
 def centralities(edges: DataFrame) -> DataFrame:
-    """(node, closeness, betweenness) of a bounded graph: inverse mean steps within the node's component, and the
-    share of shortest paths between pairs of others that pass through the node."""
+    """(node, closeness, betweenness) of a bounded graph, by the lengths of its edges: one over the sum of the distances to
+    all nodes that can be reached, and the share of shortest paths between pairs of others that pass through the node."""
     paths, _ = Scratch(edges.sparkSession).put(shortest_paths(edges))
-    ends = paths.where("d > 0")
-    near = ends.groupBy(F.col("a").alias("node")).agg((F.count(F.lit(1)) / F.sum("d")).alias("closeness"))
+    ends = paths.where("a <> b")
+    near = ends.groupBy(F.col("a").alias("node")).agg((1 / F.sum("d")).alias("closeness"))
     first = ends.select("a", F.col("b").alias("node"), F.col("d").alias("d1"), F.col("paths").alias("n1"))
     second = ends.select(F.col("a").alias("node"), "b", F.col("d").alias("d2"), F.col("paths").alias("n2"))
-    through = first.join(second, "node").where("a < b").join(ends, ["a", "b"]).where("d1 + d2 = d")
+    through = first.join(second, "node").where("a < b").join(ends, ["a", "b"]).where(F.abs(F.col("d1") + F.col("d2") - F.col("d")) <= NEARLY * F.col("d"))
     between = through.groupBy("node").agg(F.sum(F.col("n1") * F.col("n2") / F.col("paths")).alias("betweenness"))
     return near.join(between, "node", "left").select("node", "closeness", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"))
+
+
+def merged(parts: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes (node, part, degree), edges (a, b, score, part)) of the graphs of several gene lists put together.
+
+    parts: (part, node). Each part has the edges among its own nodes; a node belongs to the first part
+    that lists it, nodes without an edge stay as isolated ones, edges found in several parts are kept once a part.
+    """
+    parts = parts.where("part is not null and node is not null").distinct()
+    inside = edges.join(parts.withColumnRenamed("node", "a"), "a").join(parts.withColumnRenamed("node", "b"), ["part", "b"]).select("a", "b", "score", "part")
+    degree = both_ways(inside.select("a", "b").distinct()).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    nodes = parts.groupBy("node").agg(F.min("part").alias("part")).join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    return nodes, inside

@@ -111,3 +111,18 @@ def frequent_values(df: DataFrame, fields: dict[str, Column], share: tuple[int,
         long.where("key_value is not null"), ["field", "key_value"], {"n_rows": F.count(F.lit(1))}, {"n_rows": F.sum("n_rows")}, rows=rows * len(fields), **tree
     )
     return counts.where(F.col("n_rows") * share[1] >= F.lit(rows) * share[0])
+
+
+def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], n: str, share: int = 1000) -> DataFrame:
+    """``rows`` with the columns of ``per_key`` (a written table of one row per key, ``n`` counting the key's rows) but ``n``.
+
+    Keys that hold at least one in ``share`` of all rows, at most ``share`` keys, are broadcast: their rows
+    stay in the tasks that read them. In the join of the others no key holds more than that part. Rows
+    with a null key, or without a row in ``per_key``, are left out.
+    """
+    total = per_key.agg(F.sum(n)).first()[0] or 0
+    is_hot = F.col(n) * share >= F.lit(total)
+    hot = per_key.where(is_hot).drop(n)
+    near = rows.join(F.broadcast(hot), keys)  # at most ``share`` rows
+    far = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(per_key.where(~is_hot).drop(n), keys)
+    return near.unionByName(far)

@@ -26,6 +26,13 @@ def c4_gene_occurrence(spark: SparkSession, base: str) -> DataFrame:
     return rows.groupBy("gene").agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("conserved_id").alias("n_clusters"), F.concat_ws(" | ", F.array_sort(F.collect_set("conserved_id"))).alias("clusters"))
 
 
+def a4_gene_folders(spark: SparkSession, base: str) -> DataFrame:
+    """Distinct comparisons (folders) and distinct blocks in which each gene's clusters were met."""
+    met = occurrences(spark, base).select("conserved_id", F.concat_ws("_with_", "query", "target").alias("folder"), "block").distinct()
+    rows = members(spark, base).distinct().join(met, "conserved_id").select("gene", "folder", "block").distinct()
+    return rows.groupBy("gene").agg(F.count(F.lit(1)).alias("n_blocks"), F.count_distinct("folder").alias("n_folders"))
+
+
 def r6_comparisons(spark: SparkSession, base: str) -> DataFrame:
     return occurrences(spark, base).groupBy("query").agg(F.count(F.lit(1)).alias("n_blocks"), F.count_distinct("target").alias("n_targets"), F.count_distinct("conserved_id").alias("n_clusters"))
 
@@ -35,13 +42,30 @@ def f10_intervals(spark: SparkSession, base: str) -> DataFrame:
     return rows.select("conserved_id", "gene", "i.contig", F.col("i.start").alias("start_pos"), F.col("i.end").alias("end_pos"), "i.strand").distinct()
 
 
-def c12_layout(spark: SparkSession, base: str) -> DataFrame:
-    """Genes of each cluster in their order on the contig with an ordinal name, the first of each (contig, name) kept."""
+def layout(spark: SparkSession, base: str) -> DataFrame:
+    """(conserved_id, relation, gene, homologous_id): listed genes, numbered in their order, and the genes of other genomes matched with them.
+
+    A match names its two genes as query and target; where the listed gene is the target, the sides are
+    swapped. Listed genes come before matched ones, these in the order of their matches.
+    """
     rows = table(spark, base, "conserved_cluster").select("conserved_id", F.posexplode(parse.items("gene_list")).alias("at", "gene"))
-    rows = rows.select("conserved_id", "at", "gene", parse.gene_interval("gene").alias("i")).where("i.contig is not null")
-    rows = rows.withColumn("homologous_id", parse.numbered((F.col("at") + 1).cast("int"), "Gene_", 2))
-    kept = ranking.first_per_group(rows.withColumn("molecule", F.col("i.contig")), ["conserved_id", "molecule", "homologous_id"], [F.asc("at")])
-    return kept.select("conserved_id", "molecule", "gene", F.col("i.start").alias("start_pos"), F.col("i.end").alias("end_pos"), "i.strand", "homologous_id")
+    listed = rows.groupBy("conserved_id", "gene").agg(F.min("at").alias("at"))  # a gene listed twice has its first number
+    listed = listed.withColumn("homologous_id", parse.numbered((F.col("at") + 1).cast("int"), "Gene_", 2))
+    own = lambda c: F.trim(F.substring_index(c, "|", -1))
+    pairs = table(spark, base, "gene_match").select("match_id", own("query_id").alias("query"), own("subject_id").alias("target")).where("query <> target")
+    known = listed.select(F.col("gene").alias("reference")).distinct()
+    as_target = pairs.join(known.withColumnRenamed("reference", "target"), "target", "left_semi").select("match_id", F.col("target").alias("reference"), F.col("query").alias("other"))
+    as_query = pairs.join(known.withColumnRenamed("reference", "query"), "query", "left_semi").join(known.withColumnRenamed("reference", "target"), "target", "left_anti").select("match_id", F.col("query").alias("reference"), F.col("target").alias("other"))
+    found = as_target.unionByName(as_query).join(listed.withColumnRenamed("gene", "reference"), "reference")
+    return listed.select("conserved_id", F.lit(0).cast("long").alias("relation"), "gene", "homologous_id").unionByName(found.select("conserved_id", F.col("match_id").alias("relation"), F.col("other").alias("gene"), "homologous_id"))
+
+
+def c12_layout(spark: SparkSession, base: str) -> DataFrame:
+    """Places of the genes of each cluster, in the listed order and in other genomes: the first of each (genome, homologous name)."""
+    rows = layout(spark, base).withColumn("i", parse.gene_interval("gene")).where("i.contig is not null").withColumn("molecule", F.col("i.contig"))
+    pick = F.min_by(F.struct("gene", "i"), F.struct("relation", "gene")).alias("x")
+    kept = rows.groupBy("conserved_id", "molecule", "homologous_id").agg(pick)
+    return kept.select("conserved_id", "molecule", F.col("x.gene").alias("gene"), F.col("x.i.start").alias("start_pos"), F.col("x.i.end").alias("end_pos"), "x.i.strand", "homologous_id")
 
 
 def p8_threshold(spark: SparkSession, base: str) -> DataFrame:
@@ -70,16 +94,30 @@ def star_genes(spark: SparkSession, base: str) -> DataFrame:
     return lines.join(orders, F.col("cluster") == F.col("o_orderkey")).select("species", "cluster", "gene")
 
 
+def star_sets(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """Signatures of the order tables and the sets kept of them, both written."""
+    scratch = Scratch(spark)
+    sigs, _ = scratch.put(sets.signatures(star_genes(spark, base), "species", "cluster", "gene"))
+    found, _ = scratch.put(sets.recurring(sigs))
+    return sigs, sets.maximal(found)
+
+
 def c5_conserved_sets(spark: SparkSession, base: str) -> DataFrame:
-    sigs = sets.signatures(star_genes(spark, base), "species", "cluster", "gene")
-    kept = sets.maximal(sets.recurring(sigs)).select(F.concat_ws("|", "genes").alias("genes"), F.size("genes").alias("gene_count"), "n_species", "n_clusters")
+    kept = star_sets(spark, base)[1].select(F.concat_ws("|", "genes").alias("genes"), F.size("genes").alias("gene_count"), "n_species", "n_clusters")
     ids = ranking.dense_ids(kept, [F.desc("gene_count"), F.desc("n_species"), F.asc("genes")], "id")
     return ids.select(parse.numbered("id", "Conserved_", 3).alias("conserved_id"), "genes", "gene_count", "n_species", "n_clusters")
 
 
+def a8_set_members(spark: SparkSession, base: str) -> DataFrame:
+    """The species and clusters in which each kept set was met, one row each."""
+    sigs, kept = star_sets(spark, base)
+    return sigs.join(kept.select("genes"), "genes", "left_semi").select(F.concat_ws("|", "genes").alias("genes"), "species", "cluster")
+
+
 def c6_closed_sets(spark: SparkSession, base: str) -> DataFrame:
-    days = table(spark, base, "events").select("user_id", F.to_date("ts").alias("day"), "event_type")
-    sigs = sets.signatures(days, "user_id", "day", "event_type")
+    """Gene lists in common: species are the genomes in which a cluster was met as the query."""
+    met = occurrences(spark, base).where("query <> ''").select("conserved_id", F.col("query").alias("species")).distinct()
+    sigs, _ = Scratch(spark).put(sets.signatures(members(spark, base).join(met, "conserved_id"), "species", "conserved_id", "gene"))
     return sets.closed(sigs).select(F.concat_ws("|", "genes").alias("genes"), F.size("genes").alias("gene_count"), "n_clusters", "n_species")
 
 
@@ -147,7 +185,7 @@ def g13_nodes(spark: SparkSession, base: str) -> DataFrame:
 
 
 def g11_clique_scores(spark: SparkSession, base: str) -> DataFrame:
-    return graph.clique_scores(expanded(spark, base))
+    return graph.clique_scores(expanded(spark, base), g13_nodes(spark, base))
 
 
 def g12_hubs(spark: SparkSession, base: str) -> DataFrame:
@@ -167,7 +205,7 @@ def g8_eigenvector(spark: SparkSession, base: str) -> DataFrame:
 
 def g6_centralities(spark: SparkSession, base: str) -> DataFrame:
     out = graph.centralities(expanded(spark, base))
-    return out.select("node", F.round("closeness", 6).alias("closeness"), F.round("betweenness", 6).alias("betweenness"))
+    return out.select("node", F.round("closeness", 9).alias("closeness"), F.round("betweenness", 6).alias("betweenness"))
 
 
 def g10_page_rank(spark: SparkSession, base: str) -> DataFrame:
@@ -178,6 +216,16 @@ def g9_core(spark: SparkSession, base: str) -> DataFrame:
     return graph.core(simple(spark, base).select("a", "b"), 2)
 
 
+def g9_coreness(spark: SparkSession, base: str) -> DataFrame:
+    return graph.coreness(simple(spark, base))
+
+
+def g14_merged(spark: SparkSession, base: str) -> DataFrame:
+    """Nodes of the merged match graphs of all clusters, each under its first cluster, with isolated ones."""
+    parts, _ = Scratch(spark).put(members(spark, base).select(F.col("conserved_id").alias("part"), F.col("gene").alias("node")))
+    return graph.merged(parts, simple(spark, base))[0].withColumnRenamed("part", "conserved_id")
+
+
 def c10_families(spark: SparkSession, base: str) -> DataFrame:
     """Each gene with its family's representative and size; families come from close matches."""
     labels = graph.components(close_edges(spark, base))
@@ -221,22 +269,24 @@ _EXP = f"""with {_MATCH}, {_SEED},
 best as (select other from (select node, other, row_number() over (partition by node order by score desc, other) rn from both_ways where node in (select node from seed)) where rn <= 10),
 nodes as (select node, true is_seed from seed union all select distinct other, false from best where other not in (select node from seed)),
 ex as (select * from edge where a in (select node from nodes) and b in (select node from nodes))"""
-_MCC = _EXP + """, c3 as (select x.a n1, x.b n2, y.b n3 from ex x join ex y on x.b = y.a join ex z on z.a = x.a and z.b = y.b),
-c4 as (select n1, n2, n3, w.b n4 from c3 join ex w on w.a = n3 join ex u on u.a = n1 and u.b = w.b join ex v on v.a = n2 and v.b = w.b),
-part as (select unnest([a, b]) node, 1 w from ex union all select unnest([n1, n2, n3]), 2 from c3 union all select unnest([n1, n2, n3, n4]), 6 from c4),
-mcc as (select node, sum(w) mcc from part group by 1)"""
+_MCC = _EXP.replace("with raw", "with recursive raw", 1) + """, smaller as (select b, list(a) others from ex group by b),
+cl(nodes, tip, size) as (select [a, b], b, 2 from ex union all select list_append(nodes, e.b), e.b, size + 1 from cl join ex e on e.a = cl.tip join smaller s on s.b = e.b where list_has_all(s.others, cl.nodes)),
+part as (select unnest(nodes) node, factorial(size - 1)::double w from cl),
+mcc as (select node, coalesce(sum(w), 0)::double mcc from (select distinct node from nodes) left join part using (node) group by 1)"""
 _SIZED = _NEAR + ", sized as (select *, coalesce(abs(p - q), 0) len from (select *, " + _I.format("node") + " from lab)), grp as (select component, first(node order by len desc, node) representative, max(len) representative_size, count(*) size from sized group by 1)"
-_RANK = f"with {_MATCH}, deg as (select node, sum(score) al from both_ways group by 1), l as (select node, other, score / al s from both_ways join deg using (node)), n as (select count(*) n from deg), r0 as (select node, 1.0::double / n r from deg, n)" + "".join(
-    f", r{k} as (select d.node, 0.15 / (select n from n) + 0.85 * coalesce(sum(r * s), 0) r from deg d left join (select l.other, l.s, r{k - 1}.r from l join r{k - 1} using (node)) g on g.other = d.node group by 1)" for k in range(1, 6)
-)
-_EIG = _EXP + ", t as (select a node, b other, score from ex union all select b, a, score from ex), v0 as (select distinct node, 1.0::double v from t)" + "".join(
-    f", u{k} as (select t.node, sum(score * v) v from t join v{k - 1} x on x.node = t.other group by 1), v{k} as (select node, v / (select max(v) from u{k}) v from u{k})" for k in range(1, 9)
-)
+# Both iterate as long as it takes: 160 rounds of a walk that loses 15 % a round, 3,000 steps shifted by the greatest strength.
+_RANK = f"with recursive {_MATCH}, deg as (select node, sum(score) al from both_ways group by 1), l as (select node, other, score / al s from both_ways join deg using (node)), n as (select count(*) n from deg), it(node, r, k) as (select node, 1.0::double / n, 0 from deg, n union all select l.other, 0.15 / (select n from n) + 0.85 * sum(it.r * l.s), it.k + 1 from it join l on l.node = it.node where it.k < 160 group by l.other, it.k)"
+_EIG = _EXP.replace("with raw", "with recursive raw", 1) + """, t as (select a node, b other, score from ex union all select b, a, score from ex), m as (select max(s) m from (select sum(score) s from t group by node)),
+loops as (select * from t union all select distinct node, node, m from t, m),
+it(node, v, k) using key (node) as (select distinct node, 1.0::double, 0 from t union select l.node, sum(l.score * it.v) / max(sum(l.score * it.v)) over (), it.k + 1 from it join loops l on l.other = it.node where it.k < 3000 group by l.node, it.k)"""
+_CORE = f"""with recursive {_MATCH}, it(node, c, k) as (select node, count(*), 0 from both_ways group by 1
+    union all select node, max(least(c, rn)), k + 1 from (select t.node, it.c, it.k, row_number() over (partition by t.node order by it.c desc) rn from it join both_ways t on t.other = it.node where it.k < 200) group by node, k),
+core as (select node, c from it where k = 200)"""
 
 QUERIES = {
     f.__name__: f
     for f in (
-        c4_gene_occurrence, r6_comparisons, f10_intervals, c12_layout, p8_threshold, c11_high_conservation, c5_conserved_sets, c6_closed_sets, g3_simple_edges, g4_degrees, g2_components,
+        c4_gene_occurrence, a4_gene_folders, a8_set_members, g9_coreness, g14_merged, r6_comparisons, f10_intervals, c12_layout, p8_threshold, c11_high_conservation, c5_conserved_sets, c6_closed_sets, g3_simple_edges, g4_degrees, g2_components,
         c2_dereplicated, a11_cluster_sizes, j36_expanded, g13_nodes, g11_clique_scores, g12_hubs, g6_centralities, g8_eigenvector, g10_page_rank, g9_core, c10_families, a16_family_summary, j39_family_clusters,
     )
 }
@@ -245,12 +295,20 @@ SQL = {
     "c4_gene_occurrence": f"with {_MEMBER} select gene, count(*) n_lines, count(distinct conserved_id) n_clusters, array_to_string(list_sort(list(distinct conserved_id)), ' | ') clusters from member group by 1",
     "r6_comparisons": f"with {_AT} select query, count(*) n_blocks, count(distinct target) n_targets, count(distinct conserved_id) n_clusters from occ group by 1",
     "f10_intervals": f"with {_MEMBER}, i as (select *, {_I.format('gene')} from member) select distinct conserved_id, gene, contig, least(p, q) start_pos, greatest(p, q) end_pos, case when p > q then '-' when p <= q then '+' end strand from i",
-    "c12_layout": "with m as (select conserved_id, list_filter(list_transform(string_split(gene_list, ' | '), lambda x: trim(x, ' ')), lambda x: x <> '') l from conserved_cluster), e as (select conserved_id, unnest(l) gene, unnest(range(1, len(l) + 1)) k from m), i as (select *, "
-    + _I.format("gene") + " from e) select conserved_id, contig molecule, gene, least(p, q) start_pos, greatest(p, q) end_pos, case when p > q then '-' when p <= q then '+' end strand, format('Gene_{:02d}', k) homologous_id from i where contig is not null",
+    "a4_gene_folders": f"with {_AT}, spot as (select distinct conserved_id, query || coalesce('_with_' || target, '') folder, block from (select conserved_id, split_part(regexp_replace(x, ':#[^:#]*$', ''), '_with_', 1) query, case when contains(regexp_replace(x, ':#[^:#]*$', ''), '_with_') then regexp_replace(regexp_replace(x, ':#[^:#]*$', ''), '^.*?_with_', '') end target, nullif(regexp_extract(x, ':#([^:#]*)$', 1), '') block from place)), {_MEMBER}, r as (select distinct gene, folder, block from member join spot using (conserved_id)) select gene, count(*) n_blocks, count(distinct folder) n_folders from r group by 1",
+    "a8_set_members": f"with {_SIG}, kept as (select * from rec r where not exists (select 1 from rec o where len(o.g) > len(r.g) and list_has_all(o.g, r.g))) select array_to_string(g, '|') genes, s species, k as cluster from sig where g in (select g from kept)",
+    "c12_layout": f"""with m as (select conserved_id, list_filter(list_transform(string_split(gene_list, ' | '), lambda x: trim(x, ' ')), lambda x: x <> '') l from conserved_cluster), e as (select conserved_id, unnest(l) gene, unnest(range(1, len(l) + 1)) k from m),
+        li as (select conserved_id, gene, min(k) k from e group by 1, 2), g as (select match_id, trim(split_part(query_id, '|', -1), ' ') q, trim(split_part(subject_id, '|', -1), ' ') t from gene_match),
+        sided as (select match_id, case when t in (select gene from li) then t else q end own, case when t in (select gene from li) then q else t end other from g where q <> t),
+        al as (select conserved_id, 0 relation, gene, k from li union all select conserved_id, match_id, other, k from sided join li on li.gene = own),
+        i as (select *, """ + _I.format("gene") + """ from al)
+        select conserved_id, contig molecule, gene, least(p, q) start_pos, greatest(p, q) end_pos, case when p > q then '-' when p <= q then '+' end strand, format('Gene_{:02d}', k) homologous_id from i where contig is not null
+        qualify row_number() over (partition by conserved_id, contig, k order by relation, gene) = 1""",
     "q8_threshold": "with t as (select *, species_count / (select max(species_count) from conserved_cluster) s from conserved_cluster) select case when s >= 0.95 then '95' when s >= 0.7 then '70' when s >= 0.5 then '50' else 'below' end tier, count(*) n, sum(gene_count) n_genes from t group by 1",
     "c11_high_conservation": f"with {_AT}, u as (select distinct query, conserved_id from occ where conserved_id in (select conserved_id from conserved_cluster where species_count >= 5)), g as (select query, count(*) n_clusters, array_to_string(list_sort(list(conserved_id)), ';') ids from u group by 1) select g.*, family, genus, species from g left join taxonomy on contig = query",
     "c5_conserved_sets": f"with {_SIG}, kept as (select * from rec r where not exists (select 1 from rec o where len(o.g) > len(r.g) and list_has_all(o.g, r.g))), o as (select array_to_string(g, '|') genes, len(g) gene_count, n_species, n_clusters from kept) select format('Conserved_{{:03d}}', row_number() over (order by gene_count desc, n_species desc, genes)) conserved_id, * from o",
-    "c6_closed_sets": """with sig as (select user_id s, cast(ts as date) k, list_sort(list(distinct event_type)) g from events where event_type is not null group by 1, 2 having count(distinct event_type) >= 2),
+    "c6_closed_sets": f"""with {_AT}, {_MEMBER}, met as (select distinct conserved_id k, query s from occ where query <> ''),
+        one as (select conserved_id k, list_sort(list(distinct gene)) g from member group by 1 having count(distinct gene) >= 2), sig as (select s, k, g from one join met using (k)),
         d as (select g, count(*) n from sig group by 1),
         com as (select g from d where n >= 2 union select list_sort(list_intersect(x.g, y.g)) from d x join d y on x.g < y.g where len(list_intersect(x.g, y.g)) >= 2),
         held as (select c.g, count(*) n_clusters, list_sort(list(distinct s)) sp from com c join sig on list_has_all(sig.g, c.g) group by 1)
@@ -265,16 +323,20 @@ SQL = {
     "g11_clique_scores": _MCC + " select * from mcc",
     "g12_hubs": _MCC + """, own as (select * from mcc where node in (select node from seed) order by mcc desc, node limit 10), top as (select * from mcc order by mcc desc, node limit 10),
         s as (select own.* from own semi join top using (node)) select * from s union all select * from (select * from own order by mcc desc, node limit 2) where not exists (select 1 from s)""",
-    "g6_centralities": _EXP.replace("with raw", "with recursive raw", 1) + """, t as (select a x, b y from ex union all select b, a from ex),
-        walk(s, v, d) as (select distinct x, x, 0 from t union select s, y, d + 1 from walk join t on x = v where d < 30),
-        dist as (select s, v, min(d) d from walk group by 1, 2),
-        p(s, v, d, n) as (select s, v, d, 1::double from dist where d = 0 union all select p.s, y, p.d + 1, sum(n) from p join t on x = p.v join dist q on q.s = p.s and q.v = y and q.d = p.d + 1 group by 1, 2, 3),
-        e as (select * from p where d > 0),
-        c as (select s node, count(*) / sum(d) closeness from e group by 1),
-        b as (select x.v node, sum(x.n * y.n / z.n) betweenness from e x join e y on y.s = x.v and x.s < y.v join e z on z.s = x.s and z.v = y.v and z.d = x.d + y.d group by 1)
-        select node, round(closeness, 6) closeness, round(coalesce(betweenness, 0), 6) betweenness from c left join b using (node)""",
-    "g8_eigenvector": _EIG + " select node, round(v, 6) centrality from v8",
-    "g10_page_rank": _RANK + " select node, round(r, 9) rank from r5",
+    "g6_centralities": _EXP.replace("with raw", "with recursive raw", 1) + """, t as (select a x, b y, score w from ex union all select b, a, score from ex),
+        dist(s, v, d) using key (s, v) as (select distinct x, x, 0.0::double from t union
+            select r.s, t.y, min(r.d + t.w) from dist r join t on r.v = t.x left join recurring.dist o on o.s = r.s and o.v = t.y where o.d is null or r.d + t.w < o.d * (1 - 1e-9) group by 1, 2),
+        tight as (select p.s, p.v, q.v z from dist p join t on t.x = p.v join dist q on q.s = p.s and q.v = t.y where abs(p.d + t.w - q.d) <= 1e-9 * q.d),
+        p(s, v, k, n) as (select distinct s, s, 0, 1::double from dist union all select p.s, e.z, p.k + 1, sum(n) from p join tight e on e.s = p.s and e.v = p.v group by 1, 2, 3),
+        e as (select s, v, d, n from (select s, v, sum(n) n from p group by 1, 2) join dist using (s, v) where s <> v),
+        c as (select s node, 1 / sum(d) closeness from e group by 1),
+        b as (select x.v node, sum(x.n * y.n / z.n) betweenness from e x join e y on y.s = x.v and x.s < y.v join e z on z.s = x.s and z.v = y.v and abs(x.d + y.d - z.d) <= 1e-9 * z.d group by 1)
+        select node, round(closeness, 9) closeness, round(coalesce(betweenness, 0), 6) betweenness from c left join b using (node)""",
+    "g8_eigenvector": _EIG + " select node, round(v / max(v) over (), 6) centrality from it",
+    "g10_page_rank": _RANK + " select node, round(r, 9) rank from it where k = 160",
+    "g9_coreness": _CORE + " select node, c core from core",
+    "g9_core": _CORE + " select a, b from edge where a in (select node from core where c >= 2) and b in (select node from core where c >= 2)",
+    "g14_merged": f"with {_MATCH}, {_MEMBER}, part as (select distinct conserved_id part, gene node from member), ie as (select distinct a, b from edge join part x on x.node = a join part y on y.node = b and y.part = x.part), deg as (select node, count(*) degree from (select a node from ie union all select b from ie) group by 1) select part.node, min(part) conserved_id, coalesce(any_value(degree), 0) degree from part left join deg using (node) group by 1",
     "c10_families": _NEAR + " select node gene_id, component cluster_representative, count(*) over (partition by component) family_size from lab",
     "a16_family_summary": _NEAR + ", s as (select *, " + _I.format("node") + " from lab) select component cluster_representative, count(*) n_members, count(distinct contig) n_contigs, min(node) first_member from s group by 1",
     "j39_family_clusters": _NEAR.replace("with recursive ", f"with recursive {_MEMBER}, ") + ", r as (select distinct conserved_id, component from member join lab on gene = node) select component cluster_representative, count(*) n_clusters from r group by 1 having count(*) >= 2",
