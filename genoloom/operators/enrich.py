@@ -57,3 +57,24 @@ def shared_terms(annotation: DataFrame, genes: DataFrame, at_least: int = 2) ->
     own = annotation.select("term", "gene").distinct().join(genes.select("gene").distinct(), "gene", "left_semi")
     pairs = own.alias("x").join(own.alias("y"), "term").where("x.gene < y.gene")
     return pairs.groupBy(F.col("x.gene").alias("a"), F.col("y.gene").alias("b")).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= at_least)
+
+
+def closure(links: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, up): each of the ``terms`` (a column ``term``) with itself and all terms above it by links (child, parent), a level per round."""
+    from ..session import Scratch
+
+    scratch = Scratch(terms.sparkSession)
+    front, _ = scratch.put(terms.select("term", F.col("term").alias("up")).distinct())
+    out = front
+    while not front.isEmpty():
+        step = front.join(links.withColumnRenamed("child", "up"), "up").select("term", F.col("parent").alias("up")).distinct()
+        front, _ = scratch.put(step.join(out, ["term", "up"], "left_anti"))
+        out = out.unionByName(front)
+    return out
+
+
+def slim(annotation: DataFrame, links: DataFrame, level: DataFrame) -> DataFrame:
+    """(term, n_genes): distinct genes under each term of the ``level`` (a column ``term``), whatever lower term they are annotated with."""
+    above = closure(links, annotation.select("term").distinct()).join(level.select(F.col("term").alias("up")), "up", "left_semi")
+    rows = annotation.join(above, "term").select(F.col("up").alias("term"), "gene").distinct()
+    return rows.groupBy("term").agg(F.count(F.lit(1)).alias("n_genes"))

@@ -264,12 +264,13 @@ def shortest_paths(edges: DataFrame) -> DataFrame:
     return best.join(counts.groupBy("a", "b").agg(F.sum("paths").alias("paths")), ["a", "b"]).select("a", "b", "d", "paths")
 
 
-def centralities(edges: DataFrame) -> DataFrame:
+def centralities(edges: DataFrame, normalized: bool = False) -> DataFrame:
     """(node, closeness, betweenness) of a bounded graph, by the lengths of its edges: one over the sum of the distances to
-    all nodes that can be reached, and the share of shortest paths between pairs of others that pass through the node."""
+    all nodes that can be reached (over their mean, if normalized), and the share of shortest paths between pairs of others
+    that pass through the node."""
     paths, _ = Scratch(edges.sparkSession).put(shortest_paths(edges))
     ends = paths.where("a <> b")
-    near = ends.groupBy(F.col("a").alias("node")).agg((1 / F.sum("d")).alias("closeness"))
+    near = ends.groupBy(F.col("a").alias("node")).agg(((F.count(F.lit(1)) if normalized else F.lit(1)) / F.sum("d")).alias("closeness"))
     first = ends.select("a", F.col("b").alias("node"), F.col("d").alias("d1"), F.col("paths").alias("n1"))
     second = ends.select(F.col("a").alias("node"), "b", F.col("d").alias("d2"), F.col("paths").alias("n2"))
     through = first.join(second, "node").where("a < b").join(ends, ["a", "b"]).where(F.abs(F.col("d1") + F.col("d2") - F.col("d")) <= NEARLY * F.col("d"))

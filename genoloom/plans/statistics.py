@@ -25,14 +25,36 @@ def long(spark: SparkSession, base: str) -> DataFrame:
     return expression.to_long(samples(spark, base), ["sample", "tissue"], GENES)
 
 
+def measures(spark: SparkSession) -> DataFrame:
+    """Pairs of the five measures."""
+    return expression.pairs_of(spark.createDataFrame([(g,) for g in GENES], "gene string"))
+
+
 def a28_spearman(spark: SparkSession, base: str) -> DataFrame:
-    out = expression.spearman(long(spark, base), [])
+    out = expression.spearman(long(spark, base), measures(spark), [])
     return out.select("gene1", "gene2", F.round("spearman_rho", 6).alias("spearman_rho"), F.round("t", 4).alias("t"), "n_samples")
 
 
+def matrix(spark: SparkSession, base: str) -> DataFrame:
+    """(sample, tissue, gene, value) of a whole expression matrix, written: quantities of each brand and type ("gene")
+    by month and priority ("sample"), priority being the tissue; what wasn't sold is 0."""
+    orders = table(spark, base, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("o_orderpriority").alias("tissue"))
+    part = table(spark, base, "part").select("p_partkey", F.concat_ws("/", "p_brand", "p_type").alias("gene"))
+    lines = table(spark, base, "lineitem").select("l_orderkey", "l_partkey", F.col("l_quantity").cast("decimal(12, 2)").alias("quantity"))
+    cells = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("month", "tissue", "gene").agg(F.sum("quantity").cast("double").alias("value"))
+    wide, genes = expression.to_wide(cells.withColumn("sample", F.concat_ws("/", "month", "tissue")).drop("month"), ["sample", "tissue"])
+    return Scratch(spark).put(expression.to_long(wide, ["sample", "tissue"], genes))[0]
+
+
+def target(rows: DataFrame) -> DataFrame:
+    """The gene list under study: the ten genes of the highest totals."""
+    return ranking.top_rows(rows.groupBy("gene").agg(F.sum("value").alias("total")), [F.desc("total"), F.asc("gene")], 10).select("gene")
+
+
 def c13_coexpression(spark: SparkSession, base: str) -> DataFrame:
-    """Per tissue, with p-values corrected within the tissue; the p-value comes from Student's t."""
-    out, _ = Scratch(spark).put(expression.spearman(long(spark, base), ["tissue"], 20))
+    """Per tissue of at least 20 samples, with p-values (from Student's t) corrected within the tissue."""
+    rows = matrix(spark, base)
+    out, _ = Scratch(spark).put(expression.spearman(rows, expression.pairs_of(target(rows)), ["tissue"], 20))
     out = enrich.adjusted(out, ["tissue"], "pvalue")
     return out.select("tissue", "gene1", "gene2", F.round("spearman_rho", 6).alias("spearman_rho"), F.round("pvalue", 8).alias("pvalue"), "n_samples", F.round("adjusted", 8).alias("adj_pvalue"), parse.stars("adjusted").alias("stars"))
 
@@ -45,7 +67,7 @@ def a26_medians(spark: SparkSession, base: str) -> DataFrame:
 
 def a35_matrix(spark: SparkSession, base: str) -> DataFrame:
     """The symmetric matrix of correlations, one row per gene."""
-    pairs = expression.spearman(long(spark, base), []).select("gene1", "gene2", F.round("spearman_rho", 6).alias("rho"))
+    pairs = expression.spearman(long(spark, base), measures(spark), []).select("gene1", "gene2", F.round("spearman_rho", 6).alias("rho"))
     mirrored = pairs.unionByName(pairs.select(F.col("gene2").alias("gene1"), F.col("gene1").alias("gene2"), "rho"))
     diagonal = pairs.select(F.explode(F.array("gene1", "gene2")).alias("gene1")).distinct().select("gene1", F.col("gene1").alias("gene2"), F.lit(1.0).alias("rho"))
     return mirrored.unionByName(diagonal).groupBy(F.col("gene1").alias("gene")).pivot("gene2", sorted(GENES)).agg(F.first("rho"))
@@ -89,12 +111,45 @@ def p25_fallback(spark: SparkSession, base: str) -> DataFrame:
     return enrich.strict_or_all(a33_enriched(spark, base), F.col("adjusted") < 1e-9).select("term", "adjusted")
 
 
+def best_terms(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """The ten best enriched terms with their place (rank) and the genes under study under them."""
+    terms, _ = Scratch(spark).put(annotation(spark, base))
+    hits, _ = Scratch(spark).put(drawn(spark, base))
+    order = [F.asc("adjusted"), F.asc("p"), F.asc("term")]
+    best, _ = Scratch(spark).put(ranking.dense_ids(ranking.top_rows(enrich.over_representation(terms, hits), order, 10), order, "rank").select("term", "rank", "adjusted"))
+    return best, terms.join(best.select("term", "rank"), "term").join(hits, "gene", "left_semi").select("term", "rank", "gene")
+
+
 def g15_network(spark: SparkSession, base: str) -> DataFrame:
     """Pairs of all genes under study that share one of the ten best enriched terms, with how many of them they share."""
+    own, _ = Scratch(spark).put(best_terms(spark, base)[1])
+    return enrich.shared_terms(own, own, 1)
+
+
+def w12_main_terms(spark: SparkSession, base: str) -> DataFrame:
+    """The main term of each gene of that network: the one of the best place, and how many of the ten it has."""
+    own = best_terms(spark, base)[1]
+    return own.groupBy("gene").agg(F.min_by("term", "rank").alias("main_term"), F.min("rank").alias("rank"), F.count(F.lit(1)).alias("n_terms"))
+
+
+def j34_shared_significant(spark: SparkSession, base: str) -> DataFrame:
+    """Pairs of the twelve genes of most terms that stand together in terms significant at 5 %."""
     terms, _ = Scratch(spark).put(annotation(spark, base))
-    hits, _ = Scratch(spark).put(drawn(spark, base))
-    best = ranking.top_rows(enrich.over_representation(terms, hits), [F.asc("adjusted"), F.asc("p"), F.asc("term")], 10)
-    return enrich.shared_terms(terms.join(best.select("term"), "term", "left_semi"), hits, 1)
+    found = enrich.over_representation(terms, drawn(spark, base)).where("adjusted < 0.05").select("term")
+    top = ranking.top_rows(terms.groupBy("gene").agg(F.count(F.lit(1)).alias("n")), [F.desc("n"), F.asc("gene")], 12)
+    return enrich.shared_terms(terms.join(found, "term", "left_semi"), top, 1)
+
+
+def a34_slim(spark: SparkSession, base: str) -> DataFrame:
+    """Distinct genes under each term of the second level (phyla), by the closure of the terms' hierarchy."""
+    taxa = table(spark, base, "taxonomy")
+    ranks = ["kingdom", "phylum", "tax_class", "tax_order", "family", "genus"]
+    named = [F.concat_ws(":", F.lit(r), r) for r in ranks]
+    steps = F.explode(F.array(*(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.struct(y.alias("child"), x.alias("parent"))) for a, b, x, y in zip(ranks, ranks[1:], named, named[1:])))).alias("s")
+    links = taxa.select(steps).where("s is not null").select("s.*").distinct()
+    own = annotation(spark, base).select(F.concat_ws(":", F.lit("genus"), "term").alias("term"), "gene")
+    level = taxa.where("phylum is not null").select(named[1].alias("term")).distinct()
+    return enrich.slim(own, links, level)
 
 
 def identities(spark: SparkSession, base: str) -> DataFrame:
@@ -104,7 +159,7 @@ def identities(spark: SparkSession, base: str) -> DataFrame:
 
 
 def random_sets(spark: SparkSession, base: str, sets: DataFrame) -> DataFrame:
-    return expression.window_samples(identities(spark, base), "gene", sets, "set_id", "size", "7")
+    return expression.random_sets(identities(spark, base), "gene", sets, "set_id", "size", "7")
 
 
 def o11_random_sets(spark: SparkSession, base: str) -> DataFrame:
@@ -113,10 +168,29 @@ def o11_random_sets(spark: SparkSession, base: str) -> DataFrame:
     return random_sets(spark, base, sets)
 
 
+def a30_pair_metrics(spark: SparkSession, base: str) -> DataFrame:
+    """Metrics of the correlations among the genes under study and among 1,000 random sets of as many genes."""
+    rows = matrix(spark, base)
+    chosen, _ = Scratch(spark).put(target(rows))
+    k = chosen.count()
+    draws = expression.random_sets(rows, "gene", spark.range(1000).select(F.col("id").cast("string").alias("set_id"), F.lit(k).alias("size")), "set_id", "size", "123")
+    genes, _ = Scratch(spark).put(draws.unionByName(chosen.select(F.lit("target").alias("set_id"), "gene")))
+    pairs = genes.select("set_id", F.col("gene").alias("gene1")).join(genes.select("set_id", F.col("gene").alias("gene2")), "set_id").where("gene1 < gene2")  # of ten genes a set
+    pairs, _ = Scratch(spark).put(pairs)
+    return expression.pair_metrics(pairs, expression.spearman(rows, pairs, []))
+
+
 def c16_permutation(spark: SparkSession, base: str) -> DataFrame:
-    """Mean identity of the ten most frequent genes against 200 random sets of ten."""
+    """Each metric of the genes under study against the random sets."""
+    metrics, _ = Scratch(spark).put(a30_pair_metrics(spark, base))
+    out = expression.against_null(metrics, "target", ["mean_rho", "mean_abs_rho", "max_abs_rho", "prop_sig"])
+    return out.select("metric", *(F.round(c, 6).alias(c) for c in ("observed", "null_mean", "null_sd", "empirical_p")), F.round("z_score", 4).alias("z_score"), F.round("fold", 4).alias("fold"))
+
+
+def o10_identity_permutation(spark: SparkSession, base: str) -> DataFrame:
+    """Mean identity of the ten most frequent genes against 1,000 random sets of ten."""
     values, _ = Scratch(spark).put(identities(spark, base))
-    null = random_sets(spark, base, spark.range(200).select(F.col("id").cast("string").alias("set_id"), F.lit(10).alias("size")))
+    null = random_sets(spark, base, spark.range(1000).select(F.col("id").cast("string").alias("set_id"), F.lit(10).alias("size")))
     null = null.join(values, "gene").groupBy("set_id").agg(F.round(F.avg("mean_identity"), 6).alias("x"))
     counts = table(spark, base, "homology_summary").select(gene().alias("gene")).where("gene is not null").groupBy("gene").agg(F.count(F.lit(1)).alias("n"))
     top = ranking.top_rows(counts.join(values, "gene", "left_semi"), [F.desc("n"), F.asc("gene")], 10)
@@ -156,15 +230,43 @@ _BH = """select {k}p, least(1, min(raw) over ({w} order by p desc rows between u
     (select {k}p, p * sum(n) over ({w}) / sum(n) over ({w} order by p rows between unbounded preceding and current row) raw from
         (select {k}e_value p, count(*) n from homology_summary where {c}e_value <= 1 and not isnan(e_value) group by all))"""
 _IDN = "idn as (select upper(trim(human_gene, ' ')) gene, sum(identity_pct::decimal(12, 4))::double / count(*) mean_identity from homology_summary where identity_pct is not null and not isnan(identity_pct) and human_gene is not null group by 1)"
-_RND = f"""{_IDN}, pool as (select gene, row_number() over (order by md5('7|' || gene), gene) - 1 k, count(*) over () n from idn),
-draw as (select set_id, (('0x' || substr(md5('7|' || set_id), 1, 8))::bigint % (select max(n) from pool) + unnest(range(least(size, (select max(n) from pool))))) % (select max(n) from pool) k from sets where size > 0),
-rnd as (select set_id, gene from draw join pool using (k))"""
-_SETS = "sets as (select conserved_id set_id, least(gene_count, 10) size from conserved_cluster where gene_count is not null)"
+# Floyd's draws, as in expression.random_sets.
+_FLOYD = """floyd as (select set_id, unnest(list_reduce(range(n - kk, n), lambda got, j: case when list_contains(got, draw(set_id, j)) then list_append(got, j) else list_append(got, draw(set_id, j)) end, []::bigint[])) k
+    from (select set_id, least(size, (select count(*) from pool)) kk, (select count(*) from pool) n from sets where size > 0)),
+rnd as (select set_id, gene from floyd join pool using (k))"""
+
+
+def _floyd(seed: str) -> str:
+    return _FLOYD.replace("draw(set_id, j)", f"(('0x' || substr(md5('{seed}|' || set_id || '|' || j), 1, 8))::bigint % (j + 1))")
+
+
+_RND = f"{_IDN}, pool as (select gene, row_number() over (order by gene) - 1 k from idn), {_floyd('7')}"
+_SETS = "sets as (select conserved_id set_id, gene_count size from conserved_cluster where gene_count is not null)"
+_MATRIX = """cells as (select strftime(o_orderdate, '%Y-%m') || '/' || o_orderpriority sample, o_orderpriority tissue, p_brand || '/' || p_type gene, sum(l_quantity::decimal(12, 2))::double value from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey group by all),
+full_grid as (select sample, tissue, gene from (select distinct sample, tissue from cells), (select distinct gene from cells)),
+long as (select sample, tissue, gene, coalesce(value, 0) value from full_grid left join cells using (sample, tissue, gene)),
+chosen as (select gene from long group by 1 order by sum(value) desc, gene limit 10)"""
+# Two-sided tail of Student's t as the finite series in the angle atan(t / sqrt(f)), f being the degrees of freedom.
+_TAIL = """case when r is null or abs(r) >= 1 or n < 3 then null else greatest(0, 1 - case when f % 2 = 0
+        then sin(th) * list_sum(list_transform(range(0, f // 2), lambda j: exp(lgamma(j + 0.5) - lgamma(0.5) - lgamma(j + 1) + 2 * j * ln(cos(th)))))
+        when f = 1 then 2 / pi() * th
+        else 2 / pi() * (th + sin(th) * cos(th) * list_sum(list_transform(range(0, (f - 1) // 2), lambda j: exp(lgamma(j + 1) + lgamma(1.5) - lgamma(j + 1.5) + 2 * j * ln(cos(th)))))) end) end"""
+
+_TESTED = f"""angled as (select *, n - 2 f, atan(abs(r) * sqrt((n - 2) / greatest(1 - r * r, 1e-300)) / sqrt(greatest(n - 2, 1))) th from cor),
+tested as (select *, {_TAIL} p from angled)"""
+_BHW = "least(1, min(raw) over ({w} order by p desc rows between unbounded preceding and current row))"
+_PAIRED = f"""with {_MATRIX}, pool as (select gene, row_number() over (order by gene) - 1 k from (select distinct gene from long)), sets as (select range::varchar set_id, (select count(*) from chosen) size from range(1000)), {_floyd('123')},
+own as (select set_id, gene from rnd union all select 'target', gene from chosen), pairs as (select x.set_id, x.gene g1, y.gene g2 from own x join own y on x.set_id = y.set_id and x.gene < y.gene),
+ranked as (select *, rank() over (partition by gene order by value) + (count(*) over (partition by gene, value) - 1) / 2.0 k from long),
+cor as (select x.gene g1, y.gene g2, case when stddev_pop(x.k) > 0 and stddev_pop(y.k) > 0 then corr(x.k, y.k) end r, count(*) n from ranked x join ranked y on x.sample = y.sample and x.gene < y.gene where (x.gene, y.gene) in (select g1, g2 from pairs) group by 1, 2 having count(*) >= 3),
+{_TESTED}, rows_ as (select set_id, g1, g2, r, p from pairs left join tested using (g1, g2)),
+aj as (select *, case when p is not null then {_BHW.format(w='partition by set_id, p is null')} end adj from (select *, p * count(p) over (partition by set_id) / count(p) over (partition by set_id order by p range between unbounded preceding and current row) raw from rows_)),
+met as (select set_id, avg(r) mean_rho, avg(abs(r)) mean_abs_rho, max(abs(r)) max_abs_rho, avg((adj < 0.05)::double) prop_sig, count(*) n_pairs from aj group by 1)"""
 
 QUERIES = {
     f.__name__: f
     for f in (
-        a28_spearman, c13_coexpression, a26_medians, a35_matrix, w8_ranks, w10_adjusted, w9_adjusted_all, a33_enriched, p25_fallback, g15_network, o11_random_sets,
+        a30_pair_metrics, o10_identity_permutation, w12_main_terms, j34_shared_significant, a34_slim, a28_spearman, c13_coexpression, a26_medians, a35_matrix, w8_ranks, w10_adjusted, w9_adjusted_all, a33_enriched, p25_fallback, g15_network, o11_random_sets,
         c16_permutation, c17_random_terms, a36_scale,
     )
 }
@@ -178,9 +280,23 @@ SQL = {
     "w9_adjusted_all": _BH.format(k="", w="", c=""),
     "a33_enriched": f"with {_ENR} select term, n_term, n_hit, n_drawn, n_all, round(p, 8) p, round(adjusted, 8) adjusted from aj",
     "q25_fallback": f"with {_ENR}, r as (select term, round(adjusted, 8) adjusted from aj) select * from r where adjusted < 1e-9 or not exists (select 1 from r where adjusted < 1e-9)",
-    "g15_network": f"with ann as {_ANN}, top as (select gene from ann group by 1 order by count(*) desc, gene limit 20), own as (select * from ann where gene in (select gene from top)) select x.gene a, y.gene b, count(*) shared from own x join own y on x.term = y.term and x.gene < y.gene group by 1, 2 having count(*) >= 2",
+    "g15_network": f"with {_ENR}, best as (select term from aj order by adjusted, p, term limit 10), own as (select * from ann where term in (select term from best) and gene in (select gene from dr)) select x.gene a, y.gene b, count(*) shared from own x join own y on x.term = y.term and x.gene < y.gene group by 1, 2",
+    "w12_main_terms": f"with {_ENR}, best as (select term, row_number() over (order by adjusted, p, term) rank from aj order by rank limit 10), own as (select term, rank, gene from ann join best using (term) where gene in (select gene from dr)) select gene, arg_min(term, rank) main_term, min(rank) rank, count(*) n_terms from own group by 1",
+    "j34_shared_significant": f"with {_ENR}, top as (select gene from ann group by 1 order by count(*) desc, gene limit 12), own as (select * from ann where gene in (select gene from top) and term in (select term from aj where adjusted < 0.05)) select x.gene a, y.gene b, count(*) shared from own x join own y on x.term = y.term and x.gene < y.gene group by 1, 2",
+    "a34_slim": f"""with recursive ann as {_ANN}, rk as (select *, 'kingdom:' || kingdom k0, 'phylum:' || phylum k1, 'tax_class:' || tax_class k2, 'tax_order:' || tax_order k3, 'family:' || family k4, 'genus:' || genus k5 from taxonomy),
+        link as (select distinct * from (select k1 child, k0 parent from rk union all select k2, k1 from rk union all select k3, k2 from rk union all select k4, k3 from rk union all select k5, k4 from rk) where child is not null and parent is not null),
+        clo(term, up) as (select 'genus:' || term, 'genus:' || term from (select distinct term from ann) union select clo.term, parent from clo join link on child = up)
+        select up term, count(distinct gene) n_genes from (select 'genus:' || term term, gene from ann) join clo using (term) where starts_with(up, 'phylum:') group by 1""",
     "o11_random_sets": f"with {_SETS}, {_RND} select * from rnd",
-    "c16_permutation": f"""with sets as (select range::varchar set_id, 10 size from range(200)), {_RND}, nul as (select set_id, round(avg(mean_identity), 6) x from rnd join idn using (gene) group by 1),
+    "a30_pair_metrics": _PAIRED + " select set_id, mean_rho, mean_abs_rho, max_abs_rho, prop_sig, n_pairs from met",
+    "c16_permutation": _PAIRED + """, lg as (unpivot (select set_id, mean_rho, mean_abs_rho, max_abs_rho, prop_sig from met) on mean_rho, mean_abs_rho, max_abs_rho, prop_sig into name metric value v),
+        ob as (select metric, v observed from lg where set_id = 'target'), nu as (select metric, observed, avg(v) m, stddev_samp(v) s, (count(*) filter (v >= observed) + 1) / (count(v) + 1) p from lg join ob using (metric) where set_id <> 'target' group by 1, 2)
+        select metric, round(observed, 6) observed, round(m, 6) null_mean, round(s, 6) null_sd, round(p, 6) empirical_p, round((observed - m) / s, 4) z_score, round(observed / m, 4) fold from nu""",
+    "c13_coexpression": f"""with {_MATRIX}, ranked as (select *, rank() over (partition by tissue, gene order by value) + (count(*) over (partition by tissue, gene, value) - 1) / 2.0 k from long where gene in (select gene from chosen)),
+        cor as (select x.tissue, x.gene g1, y.gene g2, case when stddev_pop(x.k) > 0 and stddev_pop(y.k) > 0 then corr(x.k, y.k) end r, count(*) n from ranked x join ranked y on x.sample = y.sample and x.gene < y.gene group by 1, 2, 3 having count(*) >= 20),
+        {_TESTED}, aj as (select *, case when p is not null then {_BHW.format(w='partition by tissue, p is null')} end adj from (select *, p * count(p) over (partition by tissue) / count(p) over (partition by tissue order by p range between unbounded preceding and current row) raw from tested))
+        select tissue, g1 gene1, g2 gene2, round(r, 6) spearman_rho, round(p, 8) pvalue, n n_samples, round(adj, 8) adj_pvalue, case when adj < 0.001 then '***' when adj < 0.01 then '**' when adj < 0.05 then '*' when adj is not null then 'ns' end stars from aj""",
+    "o10_identity_permutation": f"""with sets as (select range::varchar set_id, 10 size from range(1000)), {_RND}, nul as (select set_id, round(avg(mean_identity), 6) x from rnd join idn using (gene) group by 1),
         top as (select gene from (select upper(trim(human_gene, ' ')) gene, count(*) n from homology_summary where human_gene is not null group by 1) where gene in (select gene from idn) order by n desc, gene limit 10),
         ob as (select round(avg(mean_identity), 6) observed from idn where gene in (select gene from top))
         select observed, round(avg(x), 5) null_mean, round(stddev_samp(x), 5) null_sd, round((count(*) filter (x >= observed) + 1) / (count(*) + 1), 6) empirical_p, round((observed - avg(x)) / stddev_samp(x), 3) z_score from nul, ob group by observed""",

@@ -1,6 +1,9 @@
 """Micro fixtures for the reference's operators: ties, missing values, edge cases."""
 
+import heapq
+import itertools
 import math
+import random
 
 import pytest
 from genoloom.functions import parse, stats
@@ -111,13 +114,14 @@ def test_tails(spark):
 
 def test_spearman(spark):
     rows = [(k, g, v) for k in range(6) for g, v in (("up", float(k)), ("down", float(-k)), ("tied", float(k // 2)), ("flat", 1.0))]
-    got = {(r.gene1, r.gene2): r.spearman_rho for r in expression.spearman(spark.createDataFrame(rows, "sample int, gene string, value double"), []).collect()}
+    df = spark.createDataFrame(rows, "sample int, gene string, value double")
+    got = {(r.gene1, r.gene2): r.spearman_rho for r in expression.spearman(df, expression.pairs_of(df), []).collect()}
     assert got["down", "up"] == pytest.approx(-1) and got["tied", "up"] == pytest.approx(0.9561828874675149) and got["flat", "up"] is None
 
 
-def test_window_samples_take_no_item_twice(spark):
+def test_random_sets_take_no_item_twice(spark):
     pool = spark.createDataFrame([(f"g{k}",) for k in range(7)], "gene string")
-    got = expression.window_samples(pool, "gene", spark.createDataFrame([("a", 3), ("b", 7), ("c", 20), ("d", 0)], "s string, k int"), "s", "k", "1").collect()
+    got = expression.random_sets(pool, "gene", spark.createDataFrame([("a", 3), ("b", 7), ("c", 20), ("d", 0)], "s string, k int"), "s", "k", "1").collect()
     by = {}
     for r in got:
         by.setdefault(r.s, []).append(r.gene)
@@ -135,7 +139,104 @@ def test_fallback_and_coverage(spark):
 
 def test_centralities(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("a", "e"), ("d", "e"), ("x", "y")], "a string, b string")
-    got = {r.node: (round(r.closeness, 6), r.betweenness) for r in graph.centralities(edges).collect()}
+    got = {r.node: (round(r.closeness, 6), r.betweenness) for r in graph.centralities(edges, normalized=True).collect()}
     assert got["a"] == (round(4 / 6, 6), 1.0) and got["x"] == (1.0, 0.0)
     square = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("a", "d")], "a string, b string")
     assert {r.betweenness for r in graph.centralities(square).collect()} == {0.5}
+
+
+def test_random_sets_are_independent(spark):
+    """Every pair of items is about equally often together, which runs of one circular order wouldn't give."""
+    pool = spark.createDataFrame([(f"g{k}",) for k in range(8)] + [("g1",), (None,)], "gene string")
+    got = expression.random_sets(pool, "gene", spark.range(2000).selectExpr("cast(id as string) s", "3 k"), "s", "k", "5").collect()
+    sets_ = {}
+    for r in got:
+        sets_.setdefault(r.s, set()).add(r.gene)
+    assert {len(v) for v in sets_.values()} == {3} and len(sets_) == 2000
+    together = {}
+    for v in sets_.values():
+        for pair in itertools.combinations(sorted(v), 2):
+            together[pair] = together.get(pair, 0) + 1
+    mean = 2000 * 3 / 28
+    assert len(together) == 28 and all(abs(n - mean) < 5 * mean**0.5 for n in together.values())
+    assert expression.random_sets(pool.limit(0), "gene", spark.createDataFrame([("a", 2)], "s string, k int"), "s", "k", "5").isEmpty()
+
+
+def test_cliques_of_all_sizes(spark):
+    six = list(itertools.combinations("abcdef", 2)) + [("f", "g"), ("x", "y")]
+    edges = spark.createDataFrame(six, "a string, b string")
+    found = {k: [c for c in itertools.combinations("abcdefgxy", k) if all(p in six for p in itertools.combinations(c, 2))] for k in range(2, 8)}
+    want = {n: sum(math.factorial(k - 1) for k, cs in found.items() for c in cs if n in c) for n in "abcdefgxy"}
+    nodes = spark.createDataFrame([(n,) for n in "abcdefgxyq"], "node string")
+    assert found[6] and not found[7]
+    assert {r.node: r.mcc for r in graph.clique_scores(edges, nodes).collect()} == {**want, "q": 0}
+    assert {r.mcc for r in graph.clique_scores(edges.limit(0), nodes).collect()} == {0}
+
+
+def test_weighted_paths_and_cores(spark):
+    r = random.Random(3)
+    names = [f"n{k:02}" for k in range(14)]
+    weights = {p: float(r.randrange(1, 5)) for p in itertools.combinations(names, 2) if r.random() < 0.25}
+    weights |= {(f"p{k:03}", f"p{k + 1:03}"): 1.0 for k in range(66)}  # longer than 64 steps
+    edges = spark.createDataFrame([(a, b, w) for (a, b), w in weights.items()], "a string, b string, score double")
+    near = {}
+    for (a, b), w in weights.items():
+        near.setdefault(a, {})[b] = w
+        near.setdefault(b, {})[a] = w
+    dist = {}
+    for s in near:
+        d, todo = {s: 0.0}, [(0.0, s)]
+        while todo:
+            x, v = heapq.heappop(todo)
+            for o, w in near[v].items():
+                if x + w < d.get(o, math.inf):
+                    d[o] = x + w
+                    heapq.heappush(todo, (x + w, o))
+        dist[s] = d
+    count = {}
+    for s in near:
+        n = {s: 1}
+        for v in sorted(dist[s], key=dist[s].get)[1:]:
+            n[v] = sum(n[o] for o, w in near[v].items() if dist[s][o] + w == dist[s][v])
+        count[s] = n
+    between = {v: sum(count[a][v] * count[v][b] / count[a][b] for a in near for b in dist[a] if a < b and v not in (a, b) and v in dist[a] and dist[a][v] + dist[v][b] == dist[a][b]) for v in near}
+    got = {x.node: (x.closeness, x.betweenness) for x in graph.centralities(edges).collect()}
+    assert set(got) == set(near) and all(got[v] == pytest.approx((1 / sum(dist[v].values()), between[v])) for v in near)
+    cores, left, k = {}, {v: set(o) for v, o in near.items() if v[0] == "n"}, 0
+    while left:
+        k += 1
+        while weak := [v for v in left if len(left[v]) < k]:
+            for v in weak:
+                cores[v] = k - 1
+                for o in left.pop(v):
+                    if o in left:
+                        left[o].discard(v)
+    assert {x.node: x.core for x in graph.coreness(edges.where("a like 'n%'")).collect()} == cores
+    assert graph.coreness(edges.limit(0)).isEmpty()
+
+
+def test_merged_graph_keeps_isolated_nodes(spark):
+    parts = spark.createDataFrame([("c2", "b"), ("c1", "a"), ("c1", "b"), ("c2", "c"), ("c2", "lone"), (None, "a")], "part string, node string")
+    edges = spark.createDataFrame([("a", "b", 1.0), ("a", "c", 1.0), ("b", "c", 2.0)], "a string, b string, score double")
+    nodes, inside = graph.merged(parts, edges)
+    assert {tuple(r) for r in nodes.select("node", "part", "degree").collect()} == {("a", "c1", 1), ("b", "c1", 2), ("c", "c2", 1), ("lone", "c2", 0)}
+    assert {(r.a, r.b, r.part) for r in inside.collect()} == {("a", "b", "c1"), ("b", "c", "c2")}
+
+
+def test_hot_group_meets_its_figures_in_place(spark):
+    """Half of the hits under one key: they aren't shuffled to meet the key's bests."""
+    hits = spark.range(4000).selectExpr("id hit_id", "case when id % 2 = 0 then 'hot' else concat('k', id) end k", "concat('s', id % 7) subject", "cast(id % 90 as int) length", "pow(10d, -(id % 50)) evalue", "cast(id % 100 as double) identity")
+    best = ranking.best_hits(hits, ["k"])
+    rows = {r.k: r for r in best.collect()}
+    assert len(rows) == 2001
+    hot = [(i % 90 / 88 + (i % 50) / 48 + (i % 100) / 98, -i, i) for i in range(0, 4000, 2) if i % 90]
+    assert rows["hot"].comprehensive_score == pytest.approx(max(hot)[0] / 3) and rows["hot"].length_by_length == 88
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+def test_slim_counts_over_the_closure(spark):
+    links = spark.createDataFrame([("a", "r"), ("b", "r"), ("a1", "a"), ("a2", "a"), ("x", "a1"), ("x", "b")], "child string, parent string")
+    rows = spark.createDataFrame([("a1", "g1"), ("x", "g1"), ("x", "g2"), ("b", "g3"), ("q", "g9")], "term string, gene string")
+    level = spark.createDataFrame([("a",), ("b",)], "term string")
+    assert {tuple(r) for r in enrich.slim(rows, links, level).collect()} == {("a", 2), ("b", 3)}
