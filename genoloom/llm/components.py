@@ -2,8 +2,10 @@
 
 Edges point from the larger node to the smaller. Large-star links all larger neighbours of a node to its
 smallest neighbour, small-star does so for its smaller ones; both are joins of the edge table with the
-minimum per node, so that a hub is a skewed join key, which adaptive execution splits, and never a group
-held by one task. When a round changes nothing, every record points to its component's minimum.
+minimum per node. The minima are a written table of one row per node, so both sides of each join are
+shuffled for it alone and nothing behind it needs its partitioning: adaptive execution can split the tasks
+of a hub, which no plan with an aggregate right below the join allows. When a round changes nothing, every
+record points to its component's minimum.
 """
 
 from __future__ import annotations
@@ -17,17 +19,18 @@ def _minimum(edges: DataFrame) -> DataFrame:
     return edges.groupBy("s").agg(F.min("d").alias("m"))
 
 
-def large_star(edges: DataFrame) -> DataFrame:
-    """Each edge (s, d) leads to d's smallest neighbour. Only smaller neighbours count for that, d itself if it has none."""
-    minima = _minimum(edges).select(F.col("s").alias("d"), "m")
-    return edges.join(minima, "d", "left").select("s", F.coalesce("m", "d").alias("d"))
+def large_star(edges: DataFrame, minima: DataFrame) -> DataFrame:
+    """Each edge (s, d) leads to d's smallest neighbour. Only smaller neighbours count for that, d itself if it has none.
+
+    minima: (s, m), the smallest d of each s, as a written table.
+    """
+    return edges.join(minima.select(F.col("s").alias("d"), "m"), "d", "left").select("s", F.coalesce("m", "d").alias("d"))
 
 
-def small_star(edges: DataFrame) -> DataFrame:
-    """The smaller neighbours of s, and s, lead to the smallest of them."""
-    minima = _minimum(edges)
+def small_star(edges: DataFrame, minima: DataFrame) -> DataFrame:
+    """The smaller neighbours of s, and s, lead to the smallest of them; a pair may be there more than once."""
     others = edges.join(minima, "s").where("d <> m").select(F.col("d").alias("s"), F.col("m").alias("d"))
-    return others.unionByName(minima.withColumnRenamed("m", "d")).distinct()
+    return others.unionByName(minima.withColumnRenamed("m", "d"))
 
 
 def star_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -36,10 +39,12 @@ def star_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     now, now_at = scratch.put(edges.distinct())
     before = sign(now)
     while True:
-        large, large_at = scratch.put(large_star(now))
-        small, small_at = scratch.put(small_star(large))
-        scratch.drop(now_at, large_at)
-        now, now_at = small, small_at
+        least, least_at = scratch.put(_minimum(now))
+        large, large_at = scratch.put(large_star(now, least))
+        scratch.drop(now_at, least_at)
+        least, least_at = scratch.put(_minimum(large))
+        now, now_at = scratch.put(small_star(large, least).distinct())
+        scratch.drop(large_at, least_at)
         after = sign(now)
         if after == before:
             return now
@@ -70,6 +75,6 @@ def link_groups(df: DataFrame, left: str | Column, right: str | Column) -> DataF
     a, b = key(F.col("a")), key(F.col("b"))
     edges = pairs.select(F.greatest(a, b).alias("s"), F.least(a, b).alias("d")).where("s <> d")
     stars = star_components(edges, scratch)
-    placed = nodes.join(stars.select(F.col("s").alias("id"), "d"), "id", "left").select("member", F.coalesce("d", "id").alias("root"))
-    names = placed.groupBy("root").agg(F.min("member").alias("group_id"))
+    placed, _ = scratch.put(nodes.join(stars.select(F.col("s").alias("id"), "d"), "id", "left").select("member", F.coalesce("d", "id").alias("root")))
+    names, _ = scratch.put(placed.groupBy("root").agg(F.min("member").alias("group_id")))
     return placed.join(names, "root").select("member", "group_id")

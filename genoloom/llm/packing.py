@@ -18,6 +18,10 @@ from ..session import Scratch
 from . import bpe
 
 
+#: Copies unrolled from one row.
+CHUNK = 4096
+
+
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
     """Container of each item, in the order given; sizes are between 1 and capacity."""
     open_at = np.zeros(capacity + 1, np.int64)  # the last stays 0: full containers don't count
@@ -55,7 +59,7 @@ def _packer(capacity: int, held_back: float):
     """
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("mixed", "ascending"), ("doc_id", "ascending"), ("piece", "ascending"), ("row", "ascending")])
+        table = table.sort_by([(c, "ascending") for c in ("mixed", "doc_id", "piece", "total", "copy")])
         sizes = table.column("tokens").to_numpy().astype(np.int64)
         last = sizes <= np.quantile(sizes, held_back)
         late = np.flatnonzero(last)
@@ -84,27 +88,34 @@ def pack(
     Only a text of more than ``capacity`` tokens is split, into full pieces, which fill containers of their
     own, and a rest. Texts and rests are packed shard by shard; containers filled to less than
     ``well_filled`` are then opened again and their items packed anew, the shards of ``fan_in`` shards
-    together. Null and empty texts are left out; repeated rows and null ids are packed like any other row;
-    other columns are ignored; an empty table gives no rows. The same rows give the same containers.
+    together. Null and empty texts are left out; repeated rows and null ids are packed like any other row:
+    rows of equal id and size are counted and numbered as copies, and id, size and copy draw the shard, so
+    that no shard is larger than others whatever ids repeat. Other columns are ignored; an empty table gives
+    no rows. The same rows give the same containers.
     """
     scratch = Scratch(df.sparkSession)
     counted = bpe.token_counts(df, doc_id, text, path).withColumnRenamed(doc_id, "doc_id").where("tokens > 0")
-    counted, _ = scratch.put(counted.withColumn("row", F.monotonically_increasing_id()))
-    shards = max(1, math.ceil(counted.count() / shard_items))
+    counted, _ = scratch.put(counted.groupBy("doc_id", F.col("tokens").alias("total")).agg(F.count(F.lit(1)).alias("copies")))
+    shards = max(1, math.ceil((counted.agg(F.sum("copies")).first()[0] or 0) / shard_items))
     cap = F.lit(capacity)
-    whole = F.floor(F.col("tokens") / cap)
-    full = counted.where(F.col("tokens") >= cap).select("row", "doc_id", F.explode(F.sequence(F.lit(0).cast("long"), whole - 1)).alias("piece"), cap.cast("long").alias("tokens"))
-    rest = counted.select("row", "doc_id", whole.alias("piece"), (F.col("tokens") % cap).alias("tokens")).where("tokens > 0")
-    rest = rest.withColumn("mixed", F.xxhash64("doc_id", "piece")).withColumn("shard", F.pmod(F.xxhash64("mixed"), F.lit(shards)))
-
-    kinds = "row long, doc_id long, piece long, tokens long, mixed long, shard long, at long, fill long"
+    # Copies of one id and size are unrolled some thousand at a time, wherever those come to lie.
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / CHUNK))).alias("chunk")
+    chunks = counted.select("doc_id", "total", "copies", chunk).repartition("doc_id", "total", "chunk")
+    last = F.least(F.col("copies"), (F.col("chunk") + 1) * CHUNK) - 1
+    rows = chunks.select("doc_id", "total", F.explode(F.sequence(F.col("chunk") * CHUNK, last)).alias("copy"))
+    whole = F.floor(F.col("total") / cap)
+    full = rows.where(F.col("total") >= cap).select("doc_id", "total", "copy", F.explode(F.sequence(F.lit(0).cast("long"), whole - 1)).alias("piece"), cap.cast("long").alias("tokens"))
+    rest = rows.select("doc_id", whole.alias("piece"), (F.col("total") % cap).alias("tokens"), "total", "copy").where("tokens > 0")
+    rest = rest.withColumn("mixed", F.xxhash64("doc_id", "total", "copy")).withColumn("shard", F.pmod(F.xxhash64("mixed"), F.lit(shards)))
+
+    kinds = "doc_id long, piece long, tokens long, total long, copy long, mixed long, shard long, at long, fill long"
     first, _ = scratch.put(rest.groupBy("shard").applyInArrow(_packer(capacity, held_back), kinds))
     good = F.col("fill") >= well_filled * capacity
     loose = first.where(~good).drop("at", "fill").withColumn("shard", F.floor(F.col("shard") / fan_in))
     second = loose.groupBy("shard").applyInArrow(_packer(capacity, 1.0), kinds)
 
-    def named(x: DataFrame, kind: str, *parts: str) -> DataFrame:
+    def named(x: DataFrame, kind: str, *parts: str | Column) -> DataFrame:
         return x.select(F.concat_ws("-", F.lit(kind), *parts).alias("container"), F.col("doc_id"), F.col("piece").cast("int").alias("piece"), F.col("tokens").cast("int").alias("tokens"))
 
-    out = named(full, "full", "row", "piece").unionByName(named(first.where(good), "first", "shard", "at")).unionByName(named(second, "second", "shard", "at"))
+    out = named(full, "full", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "total", "copy", "piece").unionByName(named(first.where(good), "first", "shard", "at")).unionByName(named(second, "second", "shard", "at"))
     return out.withColumnRenamed("doc_id", doc_id)

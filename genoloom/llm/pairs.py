@@ -2,9 +2,10 @@
 
 Baskets and items form a binary sparse matrix X. Items are dealt into item blocks and baskets into
 record blocks; for each record block and each pair of item blocks one task forms the product of the
-transposed left block with the right one, and the products are summed over the record blocks. Pairs
-exist only as cells of a bounded block, never as rows expanded from a basket, so a basket or an item
-that holds a third of all rows is spread over blocks as well.
+transposed left block with the right one, and the products are summed over the record blocks. A row is
+sent to the pairs of its block with those that its basket has an item in, and to no others. Pairs exist
+only as cells of a bounded block, never as rows expanded from a basket, so a basket or an item that holds a
+third of all rows is spread over blocks as well.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import Scratch
+
 #: Products held at once while a block pair is summed.
 SLAB = 1 << 22
 
@@ -61,6 +64,20 @@ def _block_pair(table: pa.Table) -> pa.Table:
     return pa.table({"a": items.dictionary.take(pa.array(l_items[a])), "b": items.dictionary.take(pa.array(r_items[b])), "n_ab": counts[a, b]})
 
 
+def met_blocks(kept: DataFrame, blocks: int) -> DataFrame:
+    """Rows (basket, item, block, r) once for each item block that the basket has an item in, as (.., i, j), i <= j.
+
+    A basket's blocks, at most ``blocks`` numbers, are one row of a written table; with the rows they form
+    a join that adaptive execution can split where a basket is hot, since nothing behind it needs its
+    partitioning. With a single block there is nothing to meet.
+    """
+    if blocks == 1:
+        return kept.withColumn("i", F.col("block")).withColumn("j", F.col("block"))
+    there, _ = Scratch(kept.sparkSession).put(kept.groupBy("basket").agg(F.collect_set("block").alias("others")))
+    met = kept.join(there, "basket").withColumn("other", F.explode("others")).drop("others")
+    return met.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
+
+
 def item_pairs(
     df: DataFrame,
     basket: str | Column,
@@ -89,9 +106,8 @@ def item_pairs(
     records = max(1, math.ceil(2 * (found[1] or 0) / (blocks * cell_rows)), math.ceil((found[2] or 0) / cell_rows))
 
     block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     kept = cells.join(marginals, "item", "left_semi").withColumn("block", block).withColumn("r", F.pmod(F.xxhash64("basket"), F.lit(records)).cast("int"))
-    kept = kept.withColumn("other", other).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
+    kept = met_blocks(kept, blocks)
     products = kept.groupBy("r", "i", "j").applyInArrow(_block_pair, "a string, b string, n_ab long")
     summed = products.groupBy(F.least("a", "b").alias("item_a"), F.greatest("a", "b").alias("item_b")).agg(F.sum("n_ab").alias("n_ab")).where(F.col("n_ab") >= least)
     for side in ("a", "b"):

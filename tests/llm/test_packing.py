@@ -73,3 +73,12 @@ def test_pack(spark):
         assert groups(first) == groups(again.collect())
     assert packing.pack(df.limit(0), "doc_id", "text", 100).count() == 0
     assert packing.pack(df.where("text is null"), "doc_id", "text", 100).count() == 0
+
+
+def test_repeated_and_null_ids_are_spread(spark):
+    """Half of the rows under a null id, a quarter one and the same row: no shard is above twice the mean."""
+    df = spark.range(4000).selectExpr("case when id % 4 = 0 then 7L when id % 2 = 0 then id end doc_id", "repeat('a b ', cast(case when id % 4 = 0 then 3 else 1 + id % 9 end as int)) text")
+    got = packing.pack(df, "doc_id", "text", 100, shard_items=250).where("container like 'first%'").groupBy(F.split("container", "-")[1].alias("shard")).count().collect()
+    sizes = [r["count"] for r in got]
+    assert len(sizes) == 16 and max(sizes) < 2 * sum(sizes) / 16
+    assert packing.pack(df, "doc_id", "text", 100, shard_items=250).count() == 4000

@@ -5,6 +5,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 from genoloom.llm import pairs
+from pyspark.sql import functions as F
 
 DDL = "basket string, item string, n long, i int, block int"
 
@@ -53,3 +54,14 @@ def test_gram_in_slabs(monkeypatch):
     b, i = np.nonzero(x)
     got = pairs.gram(b, i, i, 9, 9)
     assert (got == x.astype(int).T @ x.astype(int)).all()
+
+
+def test_rows_go_to_the_blocks_of_their_basket_only(spark):
+    """2,000 items in 200 blocks, baskets of ten: a row is sent some ten times, not 200."""
+    df = spark.range(20_000).selectExpr("cast(id div 10 as string) basket", "cast(pmod(xxhash64(id), 2000) as string) item").distinct()
+    kept = df.selectExpr("*", "cast(pmod(xxhash64(item), 200) as int) block", "0 r")
+    n, per = kept.count(), kept.groupBy("basket").agg(F.count("*").alias("n"), F.count_distinct("block").alias("m")).selectExpr("sum(n * m)").first()[0]
+    met = pairs.met_blocks(kept, 200)
+    assert met.count() == per <= 10 * n and met.where("i > j").isEmpty()
+    data = [(r.basket, r.item, 1, 2, 3) for r in df.collect()]
+    assert result(df, item_block=10) == brute(data)
