@@ -28,9 +28,9 @@ SIGNS = {
     "c": ("static ", "struct ", "#include", "->", "sizeof("),
     "javascript": ("function ", "function(", "const ", "=> {", "});", "let "),
     "sql": ("SELECT ", "INSERT INTO", "CREATE TABLE", "WHERE ", "FROM "),
-    "shell": ("() {\n", "local ", "\ndone", "echo ", "$item"),
+    "shell": ("() {\n", "local ", "\ndone", "echo ", "#!/", "\nfi\n"),
     "css": ("px;", "px ", "em;", "color:"),
-    "json": ('": "', '": {', '": [', '": 1', '": 2', '": 4'),
+    "json": ('": ', '",\n', "},\n"),
     "yaml": ("\n  ", ":\n", ": \""),
     "markdown": ("## ", "\n```", "\n- ", "\n* "),
     "text": (". ", ".\n"),
@@ -212,7 +212,7 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside[kind] += np.bincount(codes, minlength=BINS).astype(np.int32)
 
     for batch in batches:
-        rows, held = [], {}
+        rows, held, n_held = [], {}, {}
         for doc_id, text, lang, source, text_hash in zip(*(c.to_pylist() for c in batch.columns)):
             if text is None or not text.strip(BLANK):
                 continue
@@ -223,8 +223,10 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.setdefault(kind, []).append(codes[NEAR:-1][counts[NEAR:-1]])
             held.setdefault(TINY, []).append(codes[: min(NEAR, len(codes) - 1)][counts[: min(NEAR, len(codes) - 1)]])
             rows.append((False, doc_id, source, kind if len(codes) > NEAR else TINY, final, final_cut, len(text), len(text.encode("utf-8", "surrogatepass")), int(len(text.rstrip("\r\n")) < len(text)), int(len(cut) < len(bare)) + 2 * int(len(bare) < len(text.rstrip("\r\n"))), text_hash, None))
-            if sum(map(len, held[kind])) > BINS:
+            n_held[kind] = n_held.get(kind, 0) + len(held[kind][-1])
+            if n_held[kind] > BINS:
                 add(kind, np.concatenate(held.pop(kind)))
+                n_held[kind] = 0
         for kind, codes in held.items():
             add(kind, np.concatenate(codes))
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _FACTS)] if rows else [pa.array([], f.type) for f in _FACTS], schema=_FACTS)
@@ -248,15 +250,15 @@ def going_on(inside: DataFrame) -> DataFrame:
     return inside.select("kind", "n_inside", _levels(F.col("code"))).groupBy("kind", "at.level", "at.c").agg(F.sum("n_inside").alias("went_on"))
 
 
-def ending_odds(docs: DataFrame, went_on: DataFrame) -> DataFrame:
-    """docs (row, kind, code, p) with ratio: how much more often complete texts end after the context than positions have it.
+def ending_odds(texts: DataFrame, went_on: DataFrame, kappa: float = KAPPA) -> DataFrame:
+    """texts (row, kind, code, p, m) with ratio: how much more often complete texts end after the context than positions have it.
 
-    Texts count with their probability of being complete, the text itself not at all; each longer
-    context's rate of ending is smoothed towards the shorter one's. Contexts are a bounded alphabet, so
-    the rates are worked out per context and joined to the texts once.
+    Texts count m times (their copies) with their probability of being complete, the text itself and its
+    copies not at all; each longer context's rate of ending is smoothed towards the shorter one's. Contexts
+    are a bounded alphabet, so the rates are worked out per context and joined to the texts once.
     """
-    whole = F.lit(1.0) - F.col("p")
-    ended = docs.groupBy("kind", "code").agg(F.sum(whole).alias("ended"))
+    whole = F.col("m") * (F.lit(1.0) - F.col("p"))
+    ended = texts.groupBy("kind", "code").agg(F.sum(whole).alias("ended"))
     rows = ended.select("kind", "code", "ended", _levels(F.col("code"))).select("kind", "code", "ended", "at.*")
     sums = rows.groupBy("kind", "level", "c").agg(F.sum("ended").alias("e")).join(went_on, ["kind", "level", "c"], "left").withColumn("g", F.coalesce("went_on", F.lit(0)).cast("double"))
     means = went_on.where("level = 0").groupBy("kind").agg(F.sum("went_on").alias("positions"))
@@ -266,9 +268,9 @@ def ending_odds(docs: DataFrame, went_on: DataFrame) -> DataFrame:
 
     def rate(before: Column, x: Column) -> Column:
         others = F.greatest(x["e"] - whole, F.lit(0.0))
-        return (others + KAPPA * before) / (others + x["g"] + KAPPA)
+        return (others + kappa * before) / (others + x["g"] + kappa)
 
-    out = docs.join(steps, ["kind", "code"])
+    out = texts.join(steps, ["kind", "code"])
     return out.withColumn("ratio", F.aggregate("steps", 1 / F.col("mean"), rate) * F.col("mean")).drop("steps", "mean")
 
 
@@ -287,63 +289,82 @@ def limits(docs: DataFrame, length: str, limit_texts: int = 4, stands_out: float
     around = F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1)))).alias("band")
     near = mass.select("source", "k", around, "mass").groupBy("source", "k", "band").agg(F.sum("mass").alias("near"))
     first, end = (F.ceil(F.exp((F.col("band") + i) / F.col("k"))) for i in (-1, 2))
-    others = end - F.greatest(first, F.lit(NEAR + 1)) - 1
+    others = end - F.greatest(first, F.lit(1)) - 1
     expected = F.max((F.col("near") - F.col("same")) / F.greatest(others, F.lit(1)))
     out = seen.join(near, ["source", "k", "band"]).groupBy("source", length, "same").agg(expected.alias("expected"))
     return out.where(F.col("same") >= limit_texts + stands_out * F.col("expected")).drop("expected")
 
 
+#: What makes two texts of one source alike for the model; rows equal in all of it are copies and judged once.
+UNIT = ["source", "kind", "code", "code_cut", "n_chars", "n_bytes", "ended_line", "marked", "text_hash"]
+
+
 def truncated(df: DataFrame, doc_id: str, text: str, lang: str, source: str, prior: float = 0.1, limit_texts: int = 4, rounds: int = 3) -> DataFrame:
     """(doc_id, source, kind, p): each text that isn't null, empty or blank with the probability that it was cut.
 
-    prior: share of cut texts to begin with (a tenth of it for texts of at most NEAR characters, 0.9 for
-    those that end within brackets); the model and the shares are then fitted in ``rounds`` passes, per
-    source and for lengths (in characters or bytes) that show a limit of the source (see ``limits``). Repeated rows are judged one by one; a null language is guessed from the text, a null source
-    is one of its own; other columns are ignored; an empty table gives no rows. Whole texts are read, of
-    any length.
+    prior: share of cut texts to begin with (0.9 for those that end within brackets); the model and the
+    shares are then fitted in ``rounds`` passes, per source, per language (tiny texts being one of their
+    own) and for lengths (in characters or bytes) that show a limit of the source (see ``limits``). p > 0.5
+    says that the ratio of ending to going on is below the odds of these shares: that is the threshold,
+    fitted for each source, language and length. Copies of a text weigh as many texts but don't vouch for
+    each other, and pseudo-counts are in copies, so that repeating the whole table changes no decision.
+    Repeated rows are judged one by one; a null language is guessed from the text, a null source is one of
+    its own; other columns are ignored; an empty table gives no rows. Whole texts are read, of any length.
     """
     scratch = Scratch(df.sparkSession)
     picked = df.select(F.col(doc_id).cast("long"), F.col(text).cast("string"), F.col(lang).cast("string"), F.coalesce(F.col(source).cast("string"), F.lit("")), F.xxhash64(F.col(text).cast("string")))
     facts, _ = scratch.put(picked.mapInArrow(_facts, FACTS))
     inside = facts.where("is_count").groupBy("kind", "code").agg(F.sum("n_inside").alias("n_inside"))
     went_on, _ = scratch.put(going_on(inside))
-    docs = facts.where("not is_count").select("doc_id", "source", "kind", "code", "code_cut", "n_chars", "n_bytes", "ended_line", "marked", "text_hash")
+    docs = facts.where("not is_count").select("doc_id", *UNIT)
+    units, _ = scratch.put(docs.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("m")))
+    n, copies = units.agg(F.sum("m"), F.avg("m")).first()
+    if not n:
+        return docs.select(F.col("doc_id").alias(doc_id), F.col("source").alias(source), "kind", F.lit(None).cast("double").alias("p"))
+    texts = units
     for c in ("n_chars", "n_bytes"):
-        same = limits(docs.where(F.col("kind") != TINY), c, limit_texts).withColumnRenamed("same", f"same_{c}")
-        docs = docs.join(same, ["source", c], "left")
-    docs = docs.drop("text_hash")
+        texts = texts.join(limits(units, c, limit_texts).withColumnRenamed("same", f"same_{c}"), ["source", c], "left")
     # A mark of omission with a blank before it is an added one where texts of that length abound.
     at_limit = F.coalesce("same_n_chars", "same_n_bytes").isNotNull()
     depth = F.floor(F.col("code") / (LAST * SECOND * THIRD * WORDS))
-    begin = F.when(F.col("kind") == TINY, prior / 10).when(F.col("is_open"), 0.9).otherwise(prior)
-    docs = docs.withColumn("code", F.when(at_limit, F.col("code_cut")).otherwise(F.col("code"))).drop("code_cut")
-    docs = docs.withColumn("marked", ((F.col("marked") == 2) | ((F.col("marked") == 1) & at_limit)).cast("int"))
-    docs = docs.withColumn("is_open", depth.isin(1, 2)).withColumn("p", begin)
-    judged, judged_at = scratch.put(docs)
+    texts = texts.withColumn("unit", F.struct(*UNIT))
+    texts = texts.withColumn("code", F.when(at_limit, F.col("code_cut")).otherwise(F.col("code"))).drop("code_cut", "text_hash")
+    texts = texts.withColumn("marked", ((F.col("marked") == 2) | ((F.col("marked") == 1) & at_limit)).cast("int"))
+    texts = texts.withColumn("is_open", depth.isin(1, 2)).withColumn("p", F.when(F.col("is_open"), 0.9).otherwise(prior))
+    judged, judged_at = scratch.put(texts)
+    cut, m, two = F.sum(F.col("m") * F.col("p")), F.sum("m"), 2 * copies
     for _ in range(rounds):
-        now = ending_odds(judged, went_on)
+        now = ending_odds(judged, went_on, KAPPA * copies)
         # Whether a line end or a mark of omission is there tells something too, where a source's cut texts never or always have one.
         signs = ("ended_line", "marked")
-        sums = [x for c in signs for x in (F.sum(F.col("p") * F.col(c)).alias(f"cut_{c}"), F.sum(c).alias(f"all_{c}"))]
-        now = now.join(judged.groupBy("source").agg(F.sum("p").alias("cut"), F.count(F.lit(1)).alias("n"), *sums), "source")
+        sums = [x for c in signs for x in (F.sum(F.col("m") * F.col("p") * F.col(c)).alias(f"cut_{c}"), F.sum(F.col("m") * F.col(c)).alias(f"all_{c}"))]
+        now = now.join(judged.groupBy("source").agg(cut.alias("cut"), m.alias("n"), *sums), "source")
 
         def share(c: str, having: Column, n: Column) -> Column:
             return F.when(F.col(c) == 1, having).otherwise(n - having) / n
 
-        of = [share(c, F.col(f"cut_{c}") + 1, F.col("cut") + 2) / share(c, F.col(f"all_{c}") - F.col(f"cut_{c}") + 1, F.col("n") - F.col("cut") + 2) for c in signs]
-        now = now.withColumn("pi", (F.col("cut") + 2 * prior) / (F.col("n") + 2)).withColumn("line", of[0] * of[1])
+        of = [share(c, F.col(f"cut_{c}") + copies, F.col("cut") + two) / share(c, F.col(f"all_{c}") - F.col(f"cut_{c}") + copies, F.col("n") - F.col("cut") + two) for c in signs]
+        now = now.withColumn("pi", (F.col("cut") + two * prior) / (F.col("n") + two)).withColumn("line", of[0] * of[1])
         now = now.drop("cut", "n", *(f"{x}_{c}" for x in ("cut", "all") for c in signs))
+        # A language in which more, or fewer, texts are cut than in all shifts the odds of a source by that much.
+        kinds = judged.groupBy("kind").agg(cut.alias("cut_kind"), m.alias("n_kind"))
+        overall = judged.agg(((cut + two * prior) / (m + two)).alias("pi_all"))
+        now = now.join(kinds.crossJoin(F.broadcast(overall)), "kind")  # one row
+        of_kind = (F.col("cut_kind") + two * F.col("pi_all")) / (F.col("n_kind") + two)
+        odds = lambda x: x / (1 - x)
+        shifted = odds(F.col("pi")) * odds(of_kind) / odds(F.col("pi_all"))
+        now = now.withColumn("pi", shifted / (1 + shifted)).drop("cut_kind", "n_kind", "pi_all")
         for c in ("n_chars", "n_bytes"):
-            same = judged.where(F.col(f"same_{c}").isNotNull()).groupBy("source", c).agg(F.sum("p").alias(f"cut_{c}"), F.count(F.lit(1)).alias(f"n_{c}"))
+            same = judged.where(F.col(f"same_{c}").isNotNull()).groupBy("source", c).agg(cut.alias(f"cut_{c}"), m.alias(f"n_{c}_"))
             now = now.join(same, ["source", c], "left")
-            now = now.withColumn(f"pi_{c}", (F.col(f"cut_{c}") + 2 * F.col("pi")) / (F.col(f"n_{c}") + 2)).drop(f"cut_{c}", f"n_{c}")
+            now = now.withColumn(f"pi_{c}", (F.col(f"cut_{c}") + two * F.col("pi")) / (F.col(f"n_{c}_") + two)).drop(f"cut_{c}", f"n_{c}_")
         # Texts that end within brackets are cut where complete ones of their language never do.
-        within = judged.where("is_open").groupBy("kind", "is_open").agg(((F.sum("p") + 2 * prior) / (F.count(F.lit(1)) + F.lit(2))).alias("pi_open"))
+        within = judged.where("is_open").groupBy("kind", "is_open").agg(((cut + two * prior) / (m + two)).alias("pi_open"))
         now = now.join(within, ["kind", "is_open"], "left")
-        tiny = F.col("kind") == TINY
-        pi = F.when(tiny, prior / 10).otherwise(F.least(F.greatest("pi", "pi_n_chars", "pi_n_bytes", "pi_open"), F.lit(0.98)))
-        odds = pi / (1 - pi) * F.when(tiny, 1.0).otherwise(F.col("line")) / F.greatest("ratio", F.lit(0.001))
-        now = now.withColumn("p", odds / (1 + odds)).drop("pi", "pi_n_chars", "pi_n_bytes", "pi_open", "line", "ratio")
+        pi = F.least(F.greatest("pi", "pi_n_chars", "pi_n_bytes", "pi_open"), F.lit(0.98))
+        now = now.withColumn("odds", odds(pi) * F.col("line") / F.greatest("ratio", F.lit(0.001)))
+        now = now.withColumn("p", F.col("odds") / (1 + F.col("odds"))).drop("pi", "pi_n_chars", "pi_n_bytes", "pi_open", "line", "ratio", "odds")
         before, (judged, judged_at) = judged_at, scratch.put(now)
         scratch.drop(before)
-    return judged.select(F.col("doc_id").alias(doc_id), F.nullif(F.col("source"), F.lit("")).alias(source), "kind", "p")
+    found, _ = scratch.put(judged.select("unit.*", "p"))
+    return docs.join(found, UNIT).select(F.col("doc_id").alias(doc_id), F.nullif(F.col("source"), F.lit("")).alias(source), "kind", "p")

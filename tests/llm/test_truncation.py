@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from genoloom.llm import truncation
+from pyspark.sql import functions as F
 
 BASE = "/root/testdata/sf0.01"
 DDL = "doc_id long, text string, lang string, source string, p double, code int, kind string"
@@ -54,17 +55,25 @@ def test_language_is_guessed_only_without_signs():
 
 
 def test_held_out_accuracy(spark):
-    """Texts cut here at random places are found, and complete ones of the same tables aren't blamed."""
+    """Texts cut here at random places, some to a few characters, are found, and complete ones of the same tables aren't blamed."""
     df = spark.read.parquet(f"{BASE}/documents.parquet")
     r = random.Random(4)
     rows = [(x.doc_id, x.text, x.lang, x.source) for x in df.select("doc_id", "text", "lang", "source").collect()]
-    whole = {x.doc_id for x in truncation.truncated(df, "doc_id", "text", "lang", "source").where("p < 0.02 and kind <> 'tiny'").collect()}
+    whole = {x.doc_id for x in truncation.truncated(df, "doc_id", "text", "lang", "source").where("p < 0.02").collect()}
     chosen = {d for d, t, *_ in rows if d in whole and t and len(t) > 300 and r.random() < 0.1}
-    data = [(d, t[: r.randrange(100, len(t) - 60)] if d in chosen else t, lang, s) for d, t, lang, s in rows]
+    tiny = {d for d in chosen if r.random() < 0.15}
+    data = [(d, t[: r.randrange(6, 25) if d in tiny else r.randrange(100, len(t) - 60)] if d in chosen else t, lang, s) for d, t, lang, s in rows]
     got = {x.doc_id: x.p for x in truncation.truncated(spark.createDataFrame(data, "doc_id long, text string, lang string, source string"), "doc_id", "text", "lang", "source").collect()}
-    recall = np.mean([got[d] > 0.5 for d in chosen])
-    false = np.mean([got[d] > 0.5 for d in whole - chosen])
-    assert len(chosen) > 40 and recall > 0.85 and false < 0.03
+    recall = lambda ids: np.mean([got[d] > 0.5 for d in ids])
+    assert len(chosen) > 40 and len(tiny) > 5 and recall(chosen) >= 0.9 and recall(tiny) >= 0.9 and recall(whole - chosen) < 0.01
+
+
+def test_repeated_tables_give_the_same_decisions(spark):
+    """Every text ten times, under new ids."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    find = lambda x: {r.doc_id: r.p for r in truncation.truncated(x, "doc_id", "text", "lang", "source").collect()}
+    once, often = find(df), find(df.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumn("doc_id", F.col("doc_id") * 10 + F.col("k")))
+    assert len(often) == 10 * len(once) > 500 and all(p == pytest.approx(once[d // 10], abs=1e-9) for d, p in often.items())
 
 
 def test_defined_results(spark):
