@@ -49,6 +49,19 @@ def gene_position(c: str | Column, k: int) -> Column:
     return F.nullif(F.regexp_extract(col(c), r"^.*_[^_]+_(\d+)_(\d+)$", k + 1), F.lit("")).try_cast("long")
 
 
+def first_tokens(c: str | Column, n: int = 2) -> Column:
+    """The first n tokens of an id cut at ``_``."""
+    return F.substring_index(col(c), "_", n)
+
+
+def short_gene_interval(c: str | Column) -> Column:
+    """struct(contig, start, end) of a gene id whose contig is its first two tokens; null without four tokens or numbers at the end."""
+    parts = F.split(col(c), "_")
+    ok = F.size(parts) >= 4
+    a, b = (F.when(ok, F.element_at(parts, k)).try_cast("long") for k in (-2, -1))
+    return F.struct(F.when(ok, first_tokens(c)).alias("contig"), F.least(a, b).alias("start"), F.greatest(a, b).alias("end"))
+
+
 def gene_interval(c: str | Column) -> Column:
     """struct(contig, start, end, strand); on the minus strand the id has the larger position first."""
     a, b = gene_position(c, 0), gene_position(c, 1)

@@ -44,3 +44,15 @@ def by_any_id(df: DataFrame, wanted: DataFrame, columns: list[str], key: str) ->
     """Rows any of whose id columns is wanted, each once: one semi-join per column and a distinct by ``key``."""
     parts = [df.join(wanted.select(F.col(wanted.columns[0]).alias(c)), c, "left_semi").select(*df.columns) for c in columns]
     return reduce(lambda a, b: a.unionByName(b), parts).dropDuplicates([key])
+
+
+def zipped(left: DataFrame, left_order: list[Column], right: DataFrame, right_order: list[Column]) -> DataFrame:
+    """(at, columns of both): rows of two tables side by side by their position (from 1) in each one's order; the longer one's rest has nulls."""
+    from .ranking import dense_ids
+
+    return dense_ids(left, left_order, "at").join(dense_ids(right, right_order, "at"), "at", "full")
+
+
+def existing(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Those of the columns wanted that are there, in the order wanted."""
+    return df.select(*(F.col(f"`{c}`") for c in columns if c in df.columns))

@@ -19,23 +19,22 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (a local session, as in tests) a temporary folder is taken.
+    Only a local session may leave that unset; it takes a temporary folder. On a cluster a folder of one
+    machine would be wrong, so that an unset one is an error there.
     """
     sc = spark.sparkContext
     at = sc.getCheckpointDir()
     if at is None:
-        at = sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-genoloom-")
+        at = sc.getConf().get("spark.checkpoint.dir")
+        if not at:
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            at = tempfile.mkdtemp(prefix="spark-genoloom-")
         sc.setCheckpointDir(at)
         at = sc.getCheckpointDir()
     return at
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` by a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 class Scratch:
     """Tables written to the shared folder; each cuts lineage and survives the loss of executors.
 
@@ -53,6 +52,10 @@ class Scratch:
         self.n = 0
         Scratch.folders.append(self.base)
 
+    def at(self, name: str) -> str:
+        """A path of this object's folder for files written by other means."""
+        return f"{self.base}/{name}"
+
     def put(self, df: DataFrame, partition_by: list[str] | None = None) -> tuple[DataFrame, str]:
         """(the table as written, its path). Shuffle files of the job that writes it go with the job."""
         self.n += 1

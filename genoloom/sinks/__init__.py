@@ -17,14 +17,50 @@ def fasta(df: DataFrame, path: str, header: str, sequence: str, partition: str |
     (out.write.partitionBy(partition) if partition else out.write).text(path)
 
 
+def lines(df: DataFrame, path: str, file: str, order: list[Column], value: str = "value") -> None:
+    """Text lines in order, a folder per ``file``; a large file's lines are several parts whose names follow the order."""
+    placed = df.repartitionByRange(F.col(file), *order).sortWithinPartitions(F.col(file), *order)
+    placed.select(F.col(value).alias("value"), file).write.partitionBy(file).text(path)
+
+
+def whole_files(df: DataFrame, path: str, file: str, order: list[Column], value: str = "value") -> None:
+    """Text lines in order, one part per ``file``, for layouts whose first lines hold for the whole file."""
+    df.repartition(file).sortWithinPartitions(F.col(file), *order).select(F.col(value).alias("value"), file).write.partitionBy(file).text(path)
+
+
+def commented_list(df: DataFrame, path: str, item: str, comments: list[str]) -> None:
+    """The distinct items in order, below comment lines that begin with ``#``."""
+    head = df.sparkSession.createDataFrame([(0, k, f"# {c}") for k, c in enumerate(comments)], "part int, at int, value string")
+    rows = df.select(F.lit(1).alias("part"), F.lit(0).alias("at"), F.col(item).cast("string").alias("value")).where("value is not null").distinct()
+    head.unionByName(rows).orderBy("part", "at", "value").select("value").write.text(path)
+
+
 def blocks(df: DataFrame, path: str) -> None:
-    """Synteny blocks in their file layout, best first: by both p-values, then by more genes."""
+    """Synteny blocks in their file layout, a folder per ``file`` as the input had them, best first: by both p-values, then by more genes."""
     line = F.concat_ws("\t", F.concat(F.lit(">"), "gene_a"), "gene_b")
     keys = ["file", "block", "query", "target", "cluster_p", "multihit_p", "gene_count"]
-    rows = df.where("gene_a is not null").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("at", line.alias("line")))).alias("lines"))
+    rows = df.where("gene_a is not null").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("at", line.alias("line")))).alias("lines"))  # a block's genes
     head = F.concat_ws("\t", F.concat(F.lit("#"), "block"), "query", "target", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys[4:]))
     order = [F.asc_nulls_last("cluster_p"), F.asc_nulls_last("multihit_p"), F.desc_nulls_last("gene_count"), F.asc("block")]
-    rows.orderBy(*order).select(F.concat_ws("\n", head, F.array_join(F.transform("lines", lambda x: x["line"]), "\n"), F.lit("")).alias("value")).write.text(path)
+    text = F.concat_ws("\n", head, F.array_join(F.transform("lines", lambda x: x["line"]), "\n"), F.lit("")).alias("value")
+    lines(rows.withColumn("value", text), path, "file", order)
+
+
+def hit_outputs(best: DataFrame, path: str, keys: list[str], most: int = 100) -> list[str]:
+    """The outputs of a best-hit run as folders of CSV: summary, simple, one detailed per criterion, and clean, with texts cut to ``most``.
+
+    best: the columns of ``ranking.best_hits``, as a written table. Returns the names of the outputs.
+    """
+    from ..functions import parse
+
+    criteria = [c.removeprefix("subject_by_") for c in best.columns if c.startswith("subject_by_")]
+    outputs = {"summary": best, "simple": best.select(*keys, "subject_by_comprehensive", "comprehensive_score")}
+    outputs |= {f"by_{x}": best.select(*keys, *(c for c in best.columns if c.endswith(f"_by_{x}"))) for x in criteria}
+    texts = {c for c, t in best.dtypes if t == "string"} - set(keys)
+    outputs["clean"] = best.select(*(parse.truncated(c, most).alias(c) if c in texts else F.col(c) for c in best.columns))
+    for name, df in outputs.items():
+        delimited(df, f"{path}/{name}")
+    return list(outputs)
 
 
 def manifest(df: DataFrame, source: Column, target: Column) -> DataFrame:

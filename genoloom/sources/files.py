@@ -1,7 +1,7 @@
 """Readers of the pipeline's files. All stay lazy; Spark splits the files and reads compressed ones by extension.
 
-Block, sequence and annotation files are read as text records split at the marks that begin a record, so
-that no window over a whole file is needed.
+Block, sequence and annotation files are read as text records split at the marks that begin a record at the
+start of a line, so that no window over a whole file is needed.
 """
 
 from __future__ import annotations
@@ -80,29 +80,37 @@ def cds_intervals(spark: SparkSession, path: str) -> DataFrame:
     return df.select("contig", (F.col("start_pos") - 1).alias("begin"), "end_pos", name.alias("name"), "strand")
 
 
+#: The line that begins a region of an annotation file.
+REGION = "##sequence-region"
+
+
 def corrected_strands(spark: SparkSession, path: str) -> DataFrame:
-    """(region, at, value): annotation lines with the first minus coding line behind each region mark turned to plus.
+    """(file, region, at, value): annotation lines with the first minus coding line behind each region mark turned to plus.
 
     A minus coding line that starts at 1 is turned as well. Files are cut at the region marks, so each
-    region is one record; ``at`` is the line within it.
+    region is one record; ``at`` is the line within it. Lines before a file's first mark are a region of
+    their own. ``sinks.lines`` writes the result back file by file.
     """
-    records = spark.read.option("lineSep", "##sequence-region").text(path).where("value <> ''").withColumn("region", F.monotonically_increasing_id())
-    lines = records.select("region", F.posexplode(F.split("value", "\n")).alias("at", "value")).where("value <> ''")
+    read = spark.read.option("lineSep", f"\n{REGION}").text(path)
+    records = read.select(parse.basename(F.input_file_name()).alias("file"), "value").where("value <> ''").withColumn("region", F.monotonically_increasing_id())
+    # Behind a mark that was a separator the record goes on with a blank; a file's first record has all of its text.
+    whole = F.when(F.col("value").rlike("^[ \t]"), F.concat(F.lit(REGION), "value")).otherwise(F.col("value"))
+    lines = records.select("file", "region", F.posexplode(F.split(whole, "\n")).alias("at", "value")).where("value <> ''")
     f = F.split("value", "\t")
     minus = (F.get(f, F.lit(2)) == "CDS") & (F.get(f, F.lit(6)) == "-")
     order = F.sum(F.coalesce(minus, F.lit(False)).cast("int")).over(W.partitionBy("region").orderBy("at"))
     turn = minus & ((order == 1) | (F.get(f, F.lit(3)) == "1"))
     turned = F.concat_ws("\t", F.slice(f, 1, 6), F.lit("+"), F.slice(f, 8, 100))
-    head = F.when(F.col("at") == 0, F.concat(F.lit("##sequence-region"), "value")).otherwise(F.col("value"))
-    return lines.withColumn("value", F.when(turn, turned).otherwise(head))
+    return lines.withColumn("value", F.when(turn, turned).otherwise(F.col("value")))
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(header, sequence), lines of a sequence joined."""
-    records = spark.read.option("lineSep", ">").text(path).where("trim(value) <> ''")
+    """(header, sequence[, columns of partition folders]), lines of a sequence joined; a record begins with ``>`` at the start of a line."""
+    records = spark.read.option("lineSep", "\n>").text(path).withColumn("value", F.regexp_replace("value", "^>", "")).where("trim(value) <> ''")
     at = F.instr("value", "\n")
     header = F.when(at > 0, F.expr("substring(value, 1, instr(value, '\n') - 1)")).otherwise(F.col("value"))
-    return records.select(F.trim(F.regexp_replace(header, "\r", "")).alias("header"), F.when(at > 0, F.regexp_replace(F.expr("substring(value, instr(value, '\n') + 1)"), r"\s", "")).otherwise("").alias("sequence"))
+    sequence = F.when(at > 0, F.regexp_replace(F.expr("substring(value, instr(value, '\n') + 1)"), r"\s", "")).otherwise("")
+    return records.select(F.trim(F.regexp_replace(header, "\r", "")).alias("header"), sequence.alias("sequence"), *(c for c in records.columns if c != "value"))
 
 
 def cds_sequences(spark: SparkSession, path: str) -> DataFrame:
@@ -113,7 +121,8 @@ def cds_sequences(spark: SparkSession, path: str) -> DataFrame:
 
 def blocks(spark: SparkSession, path: str) -> DataFrame:
     """(file, block, query, target, cluster_p, multihit_p, gene_count, at, gene_a, gene_b): member lines of synteny blocks."""
-    records = spark.read.option("lineSep", "#").text(path).withColumn("file", parse.basename(F.input_file_name())).where("trim(value) <> ''")
+    read = spark.read.option("lineSep", "\n#").text(path)  # a folder ``file=...`` names the file itself
+    records = (read if "file" in read.columns else read.withColumn("file", parse.basename(F.input_file_name()))).withColumn("value", F.regexp_replace("value", "^#", "")).where("trim(value) <> ''")
     lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
     head = F.split(F.get(lines, F.lit(0)), "\t")
     rows = records.select("file", head.alias("h"), F.posexplode_outer(F.filter(lines, lambda x: x.startswith(">"))).alias("at", "line"))
@@ -125,22 +134,38 @@ def blocks(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def annotations(spark: SparkSession, path: str) -> DataFrame:
-    """Functional annotation lines below a ``##`` preamble; the header line begins with ``#query``."""
-    lines = spark.read.text(path).where("not startswith(value, '##')")
-    header = lines.where("startswith(value, '#query')").limit(1).collect()  # one line
-    names = header[0][0].lstrip("#").split("\t") if header else []
-    parts = F.split("value", "\t")
-    return lines.where("not startswith(value, '#')").select(*(F.get(parts, F.lit(k)).alias(n) for k, n in enumerate(names)))
+def accessions(spark: SparkSession, path: str, pattern: str = r"^GC[AF]_[0-9]+\.[0-9]+$") -> DataFrame:
+    """(accession, kind, name): a row for the sequences and one for the annotation of each line that begins with an accession."""
+    first = F.split("value", r"\s+")[0]
+    rows = spark.read.text(path).select(first.alias("accession")).where(F.col("accession").rlike(pattern))
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), F.concat("accession", F.lit(f".{k}.gz")).alias("name")) for k in ("fna", "gff")))
+    return rows.select("accession", F.explode(kinds).alias("x")).select("accession", "x.*")
+
+
+def annotations(spark: SparkSession, path: str, with_file: bool = False) -> DataFrame:
+    """Functional annotation lines below a ``##`` preamble; each file's header line begins with ``#query``.
+
+    Files may have their columns in another order, or others: each is read by its own header, and the
+    result has all columns, null where a file lacks one. ``with_file`` adds the file's name as ``file``.
+    """
+    lines = spark.read.text(path).select(F.input_file_name().alias("path"), "value").where("not startswith(value, '##')")
+    headers = lines.where("startswith(value, '#query')").select("path", F.split(F.expr("substring(value, 2)"), "\t").alias("names"))
+    layouts = sorted(tuple(r.names) for r in headers.select("names").distinct().collect())  # a row per version of the tool
+    rows = lines.where("not startswith(value, '#')").select("path", F.split("value", "\t").alias("f"))
+    rows = rows.withColumn("names", F.array(*(F.lit(n) for n in layouts[0]))) if len(layouts) == 1 else rows.join(headers, "path")
+    every = list(dict.fromkeys(n for names in layouts for n in names))
+    place = lambda n: F.array_position("names", F.lit(n))
+    columns = [F.when(place(n) > 0, F.get("f", (place(n) - 1).cast("int"))).alias(n) for n in every]
+    return rows.select(*([parse.basename("path").alias("file")] if with_file else []), *columns)
 
 
 def expression_matrix(spark: SparkSession, path: str) -> DataFrame:
-    """(gene_id, symbol, sample, value) of a matrix file with two lines before its header."""
-    head = spark.read.text(path).where("startswith(value, 'Name\t')").limit(1).collect()  # one line
-    names = head[0][0].split("\t") if head else []
-    rows = spark.read.text(path).where("not startswith(value, '#') and not startswith(value, 'Name\t') and instr(value, '\t') > 0").select(F.split("value", "\t").alias("f")).where(F.size("f") == len(names))
-    samples = F.array(*(F.lit(n) for n in names[2:]))
-    cells = rows.select(F.get("f", F.lit(0)).alias("gene_id"), F.get("f", F.lit(1)).alias("symbol"), F.explode(F.arrays_zip(samples.alias("s"), F.slice("f", 3, max(len(names) - 2, 1)).alias("v"))).alias("x"))
+    """(gene_id, symbol, sample, value) of matrix files with two lines before the header, each file by its own header; lines of another width are left out."""
+    lines = spark.read.text(path).select(F.input_file_name().alias("path"), "value").where("not startswith(value, '#') and instr(value, '\t') > 0")
+    headers = lines.where("startswith(value, 'Name\t')").select("path", F.split("value", "\t").alias("names"))
+    rows = lines.where("not startswith(value, 'Name\t')").select("path", F.split("value", "\t").alias("f")).join(headers, "path").where("size(f) = size(names)")
+    tail = lambda c: F.slice(c, F.lit(3), F.greatest(F.size("names") - 2, F.lit(1)))
+    cells = rows.select(F.get("f", F.lit(0)).alias("gene_id"), F.get("f", F.lit(1)).alias("symbol"), F.explode(F.arrays_zip(tail("names").alias("s"), tail("f").alias("v"))).alias("x"))
     return cells.select("gene_id", "symbol", F.col("x.s").alias("sample"), F.col("x.v").try_cast("double").alias("value"))
 
 
