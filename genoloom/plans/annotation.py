@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import parse
 from ..operators import enrich, graph, integrate, ranking
-from ..session import table
+from ..session import Scratch, table
 from ..sources import rejects
 from .clusters import close_edges, members, seeds, simple
 from .general import gene
@@ -21,12 +21,26 @@ def summary(spark: SparkSession, base: str) -> DataFrame:
     return integrate.one_per_key(df, KEYS, [F.coalesce("comprehensive_score", F.lit(-1.0)), F.coalesce("human_gene", F.lit("")), F.coalesce("length_bp", F.lit(-1)), F.coalesce("identity_pct", F.lit(-1.0)), F.coalesce("e_value", F.lit(-1.0))])
 
 
+def lines_of(spark: SparkSession, base: str, kind: str) -> DataFrame:
+    """The good lines of one kind; others aren't parsed."""
+    return rejects.load_lines(table(spark, base, "raw_record").where(F.col("file_kind") == kind)).where("status = 'ok'")
+
+
 def eggnog(spark: SparkSession, base: str) -> DataFrame:
-    lines = rejects.load_lines(table(spark, base, "raw_record")).where("status = 'ok' and file_kind = 'eggnog_summary'")
-    rows = lines.select(F.get("fields", F.lit(0)).alias("conserved_id"), F.col("query_id").alias("cluster_gene"), F.col("hit").alias("egg_hit"), F.col("evalue").alias("egg_evalue"), "record_id")
+    rows = lines_of(spark, base, "eggnog_summary").select(F.get("fields", F.lit(0)).alias("conserved_id"), F.col("query_id").alias("cluster_gene"), F.col("hit").alias("egg_hit"), F.col("evalue").alias("egg_evalue"), "record_id")
     return integrate.one_per_key(rows, KEYS, [-F.col("egg_evalue"), -F.col("record_id")]).drop("record_id")
 
 
+#: Annotations looked up by a gene's key, and their fields in a seed line.
+LOOKED_UP = {"seed_hit": 1, "seed_evalue": 2, "seed_score": 3, "seed_identity": 8, "seed_coverage": 9}
+
+
+def seed_annotations(spark: SparkSession, base: str) -> DataFrame:
+    """(query_id, five texts) of seed lines; of repeated queries the last line counts."""
+    rows = lines_of(spark, base, "seed_orthologs").select("query_id", *(F.get("fields", F.lit(k)).alias(c) for c, k in LOOKED_UP.items()), "record_id")
+    return integrate.one_per_key(rows, ["query_id"], [F.col("record_id")]).drop("record_id")
+
+
 def integrated(spark: SparkSession, base: str) -> DataFrame:
     nucleotide = summary(spark, base).where("human_gene is null or not contains(lower(human_gene), 'no hit')")
     protein = best(spark, base).select(*KEYS, F.col("subject_by_comprehensive").alias("prot_gene"), F.col("evalue_by_comprehensive").alias("prot_evalue"))
@@ -39,9 +53,20 @@ def source_of():
 
 
 def c9_integrated(spark: SparkSession, base: str) -> DataFrame:
+    """All evidence of each gene in one row, with its cluster's figures and five looked-up annotations, ``NA`` where there is none."""
     clusters = table(spark, base, "conserved_cluster").select("conserved_id", "gene_count", "species_count")
-    out = integrated(spark, base).withColumn("source", source_of()).join(clusters, "conserved_id", "left")
-    return out.select(*KEYS, "human_gene", "e_value", "prot_gene", "prot_evalue", "egg_hit", "egg_evalue", "source", "gene_count", "species_count", parse.first_filled("human_gene", "prot_gene", "egg_hit", F.lit("NA")).alias("any_gene"))
+    out = integrated(spark, base).withColumn("source", source_of()).join(clusters, "conserved_id", "left").withColumn("query_id", F.concat_ws("|", *KEYS))
+    out = out.join(seed_annotations(spark, base), "query_id", "left").withColumns({c: F.coalesce(c, F.lit("NA")) for c in LOOKED_UP})
+    out = out.withColumn("any_gene", parse.first_filled("human_gene", "prot_gene", "egg_hit", F.lit("NA")))
+    return integrate.existing(out, [*KEYS, "human_gene", "e_value", "prot_gene", "prot_evalue", "egg_hit", "egg_evalue", "egg_score", "source", *LOOKED_UP, "gene_count", "species_count", "any_gene"])
+
+
+def j17_annotated_seeds(spark: SparkSession, base: str) -> DataFrame:
+    """Queries of seed lines with the first summary line of the same query, by their ids."""
+    seeds_ = lines_of(spark, base, "seed_orthologs").where("query_id is not null").groupBy("query_id").agg(F.min("record_id").alias("seed_record"))
+    found = lines_of(spark, base, "eggnog_summary").select(F.concat_ws("|", F.get("fields", F.lit(0)), "query_id").alias("query_id"), "record_id", "hit")
+    first = found.groupBy("query_id").agg(F.min("record_id").alias("summary_record"), F.min_by("hit", "record_id").alias("summary_hit"))
+    return seeds_.join(first, "query_id", "left")
 
 
 def a19_sources(spark: SparkSession, base: str) -> DataFrame:
@@ -106,6 +131,72 @@ def o12_sample(spark: SparkSession, base: str) -> DataFrame:
     return ranking.sample_per_group(df, ["conserved_id"], "cluster_gene", 3, "2024")
 
 
+def j37_sampled_rows(spark: SparkSession, base: str) -> DataFrame:
+    """The sampled keys of each cluster joined back to their best summary row."""
+    return o12_sample(spark, base).join(summary(spark, base), KEYS).select(*KEYS, "human_gene", "length_bp", "comprehensive_score")
+
+
+def j39_set_sizes(spark: SparkSession, base: str) -> DataFrame:
+    """The size of a random set for each cluster id met in the summary: that of the cluster of this id, else of the cluster in the same place of the list, else 0."""
+    met = table(spark, base, "homology_summary").where("conserved_id is not null").select(F.col("conserved_id").alias("set_id")).distinct()
+    known = table(spark, base, "conserved_cluster").where("gene_count is not null").select("conserved_id", "gene_count")
+    named = ranking.dense_ids(met, [F.asc("set_id")], "place").join(known.withColumnsRenamed({"conserved_id": "set_id", "gene_count": "own"}), "set_id", "left")
+    listed = ranking.dense_ids(known, [F.asc("conserved_id")], "place").select("place", F.col("gene_count").alias("beside"))
+    return named.join(listed, "place", "left").select("set_id", "place", F.coalesce("own", "beside", F.lit(0)).alias("size"))
+
+
+def j30_by_name(spark: SparkSession, base: str) -> DataFrame:
+    """Rows per genus joined with the organisms that bear its name: as many rows as there are organisms, or one."""
+    counts = placed(spark, base).where("genus is not null").groupBy("genus").agg(F.count(F.lit(1)).alias("n_rows"))
+    first = F.substring_index("organism_name", " ", 1)
+    named = table(spark, base, "taxonomy").where("organism_name is not null").select(first.alias("genus"), "organism_name", "gcf")
+    return counts.join(named, "genus", "left")
+
+
+def w22_first_symbols(spark: SparkSession, base: str) -> DataFrame:
+    """The first row of each gene symbol, in the order of cluster and gene; the symbol's other rows are left out."""
+    df = table(spark, base, "homology_summary").select(gene().alias("symbol"), *KEYS).where("symbol is not null and conserved_id is not null and cluster_gene is not null")
+    return df.groupBy("symbol").agg(F.min(F.struct(*KEYS)).alias("x")).select("symbol", "x.*")
+
+
+def named_families(spark: SparkSession, base: str) -> DataFrame:
+    """(gene_id, cluster_representative, name): family members with their human gene, written."""
+    from .clusters import c10_families
+
+    rows = c10_families(spark, base).select("gene_id", "cluster_representative")
+    return Scratch(spark).put(rows.join(lookup(spark, base).where("name not in ('NO HIT', 'UNKNOWN')").withColumnRenamed("gene", "gene_id"), "gene_id", "left"))[0]
+
+
+def a17_family_names(spark: SparkSession, base: str) -> DataFrame:
+    """Size of each family and the sorted distinct human genes of its members (bounded by the names there are)."""
+    rows = named_families(spark, base)
+    sizes = rows.groupBy("cluster_representative").agg(F.count(F.lit(1)).alias("family_size"))
+    names = rows.where("name is not null").select("cluster_representative", "name").distinct().groupBy("cluster_representative").agg(F.count(F.lit(1)).alias("n_names"), F.array_join(F.array_sort(F.collect_list("name")), ",").alias("member_genes"))
+    return sizes.join(names, "cluster_representative", "left").withColumns({"n_names": F.coalesce("n_names", F.lit(0)), "member_genes": F.coalesce("member_genes", F.lit(""))})
+
+
+def j19_groups(spark: SparkSession, base: str) -> DataFrame:
+    """The families of each human gene, a row for each: its group is the genes of these families (``a17_family_names``).
+
+    Written out per gene the groups of a large family would be all of its pairs; this says the same in
+    as many rows as there are memberships.
+    """
+    return named_families(spark, base).where("name is not null").select("name", "cluster_representative").distinct()
+
+
+def c10_annotated(spark: SparkSession, base: str) -> DataFrame:
+    """Summary rows with the group of the gene picked by each of the four criteria, and the first group there is.
+
+    A group is named by the smallest family of the gene, with the number of its families beside it.
+    """
+    groups, _ = Scratch(spark).put(j19_groups(spark, base).groupBy("name").agg(F.min("cluster_representative").alias("group"), F.count(F.lit(1)).alias("n_families")))
+    picked = {"length": "human_gene_by_length", "evalue": "human_gene_by_evalue", "identity": "human_gene_by_identity", "comprehensive": "human_gene"}
+    out = table(spark, base, "homology_summary").select(*KEYS, *(F.upper(F.trim(c)).alias(f"gene_by_{x}") for x, c in picked.items()))
+    for x in picked:
+        out = out.join(groups.select(F.col("name").alias(f"gene_by_{x}"), F.col("group").alias(f"group_by_{x}"), F.col("n_families").alias(f"families_by_{x}")), f"gene_by_{x}", "left")
+    return out.select(*KEYS, *(c.format(x) for x in picked for c in ("gene_by_{}", "group_by_{}", "families_by_{}")), F.coalesce(*(f"group_by_{x}" for x in picked), F.lit("")).alias("group_all"))
+
+
 def o7_batches(spark: SparkSession, base: str) -> DataFrame:
     out = ranking.even_batches(table(spark, base, "conserved_cluster").select("conserved_id"), [F.asc("conserved_id")], 7)
     return out.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.min("conserved_id").alias("first_id"), F.max("conserved_id").alias("last_id"))
@@ -225,6 +316,7 @@ n2 as (select conserved_id, cluster_gene, human_gene, e_value from nucl where hu
 p2 as (select conserved_id, cluster_gene, subject_by_comprehensive prot_gene, evalue_by_comprehensive prot_evalue from prot_best),
 e0 as (select f[1] conserved_id, q cluster_gene, hit egg_hit, cast(trim(e, ' ') as double) egg_evalue, record_id from judged where reason is null and file_kind = 'eggnog_summary'),
 e2 as (select conserved_id, cluster_gene, first(egg_hit order by egg_evalue, record_id) egg_hit, min(egg_evalue) egg_evalue from e0 group by 1, 2),
+sd as (select q query_id, first(f order by record_id desc) f from judged where reason is null and file_kind = 'seed_orthologs' and q is not null group by 1),
 al as (select coalesce(n2.conserved_id, p2.conserved_id, e2.conserved_id) conserved_id, coalesce(n2.cluster_gene, p2.cluster_gene, e2.cluster_gene) cluster_gene, human_gene, e_value, prot_gene, prot_evalue, egg_hit, egg_evalue,
     n2.conserved_id is not null n, p2.conserved_id is not null p, e2.conserved_id is not null g
     from n2 full join p2 using (conserved_id, cluster_gene) full join e2 on e2.conserved_id = coalesce(n2.conserved_id, p2.conserved_id) and e2.cluster_gene = coalesce(n2.cluster_gene, p2.cluster_gene))"""
@@ -239,6 +331,7 @@ def _sql() -> dict[str, str]:
     name = "look as (select cluster_gene gene, first(upper(trim(human_gene, ' ')) order by comprehensive_score desc, upper(trim(human_gene, ' '))) name from homology_summary where cluster_gene is not null and human_gene is not null and comprehensive_score is not null and not isnan(comprehensive_score) group by 1)"
     at = "nullif(regexp_extract({0}, '^(.*)_[^_]+_\\d+_\\d+$', 1), '') contig, least({1}, {2}) lo, greatest({1}, {2}) hi"
     pos = lambda c: at.format(c, *(f"try_cast(nullif(regexp_extract({c}, '^.*_[^_]+_(\\d+)_(\\d+)$', {k}), '') as bigint)" for k in (1, 2)))
+    fam = _NEAR.replace("with recursive ", f"with recursive {name}, ") + ", nf as (select node, component, name from lab left join (select * from look where name not in ('NO HIT', 'UNKNOWN')) on gene = node)"
     spot = "nullif(regexp_extract({0}, '^(.*_[^_]+)_\\d+_\\d+$', 1), '')"
     return {
         "w20_first_name": f"with {name} select * from look",
@@ -247,8 +340,20 @@ def _sql() -> dict[str, str]:
         "j23_fallback": f"with {_MEMBER}, k as (select distinct cluster_gene f from homology_summary where cluster_gene is not null), n as (select {spot.format('f')} place, min(f) near from k group by 1 having place is not null), r as (select distinct gene, {spot.format('gene')} place from member) select gene, coalesce(f, near) as match, case when f is not null then 'id' when near is not null then 'place' else 'none' end how from r left join k on f = gene left join n using (place)",
         "a20_by_genome": f"with {_PLACED}, g as (select contig, length_bp, coalesce(upper(trim(human_gene, ' ')), 'UNKNOWN') not in ('NO HIT', 'UNKNOWN') named from placed where contig is not null) select contig, count(*) n, sum(length_bp) total, round(avg(length_bp), 6) mean, count(*) filter (named) n_named, round(count(*) filter (named) / count(*), 1) share from g group by 1",
         "c9_integrated": _integrated() + """ select conserved_id, cluster_gene, human_gene, e_value, prot_gene, prot_evalue, egg_hit, egg_evalue,
+            coalesce(f[2], 'NA') seed_hit, coalesce(f[3], 'NA') seed_evalue, coalesce(f[4], 'NA') seed_score, coalesce(f[9], 'NA') seed_identity, coalesce(f[10], 'NA') seed_coverage,
             case when n and g then 'Both' when n then 'BLAST only' when g then 'eggNOG only' else 'BLASTP only' end source, gene_count, species_count, coalesce(nullif(human_gene, ''), nullif(prot_gene, ''), nullif(egg_hit, ''), 'NA') any_gene
-            from al left join conserved_cluster using (conserved_id)""",
+            from al left join conserved_cluster using (conserved_id) left join sd on query_id = conserved_id || '|' || cluster_gene""",
+        "j17_annotated_seeds": _integrated() + """, sq as (select q query_id, min(record_id) seed_record from judged where reason is null and file_kind = 'seed_orthologs' and q is not null group by 1),
+            su as (select f[1] || '|' || q query_id, min(record_id) summary_record, arg_min(hit, record_id) summary_hit from judged where reason is null and file_kind = 'eggnog_summary' group by 1) select * from sq left join su using (query_id)""",
+        "j37_sampled_rows": _integrated() + f""", sa as (select conserved_id, cluster_gene from (select distinct conserved_id, cluster_gene from homology_summary where {_KEYED}) qualify row_number() over (partition by conserved_id order by md5('2024|' || conserved_id || '|' || cluster_gene), cluster_gene) <= 3),
+            de as (select conserved_id, cluster_gene, unnest(max(struct_pack(s := coalesce(comprehensive_score, -1), g := coalesce(human_gene, ''), l := coalesce(length_bp, -1), i := coalesce(identity_pct, -1), e := coalesce(e_value, -1), human_gene := human_gene, length_bp := length_bp, comprehensive_score := comprehensive_score))) from homology_summary where {_KEYED} group by 1, 2)
+            select conserved_id, cluster_gene, human_gene, length_bp, comprehensive_score from sa join de using (conserved_id, cluster_gene)""",
+        "j39_set_sizes": "with m as (select set_id, row_number() over (order by set_id) place from (select distinct conserved_id set_id from homology_summary where conserved_id is not null)), k as (select conserved_id, gene_count, row_number() over (order by conserved_id) place from conserved_cluster where gene_count is not null) select set_id, m.place, coalesce(a.gene_count, b.gene_count, 0) size from m left join k a on a.conserved_id = set_id left join k b on b.place = m.place",
+        "j30_by_name": f"with {_PLACED}, c as (select genus, count(*) n_rows from placed where genus is not null group by 1), n as (select split_part(organism_name, ' ', 1) genus, organism_name, gcf from taxonomy where organism_name is not null) select * from c left join n using (genus)",
+        "w22_first_symbols": f"select upper(trim(human_gene, ' ')) symbol, unnest(min(struct_pack(conserved_id := conserved_id, cluster_gene := cluster_gene))) from homology_summary where human_gene is not null and {_KEYED} group by 1",
+        "a17_family_names": fam + ", d as (select distinct component, name from nf where name is not null), g as (select component, count(*) n_names, string_agg(name, ',' order by name) member_genes from d group by 1), z as (select component, count(*) family_size from nf group by 1) select component cluster_representative, family_size, coalesce(n_names, 0) n_names, coalesce(member_genes, '') member_genes from z left join g using (component)",
+        "j19_groups": fam + " select distinct name, component cluster_representative from nf where name is not null",
+        "c10_annotated": fam + ", gr as (select name, min(component) grp, count(distinct component) n from nf where name is not null group by 1), h as (select conserved_id, cluster_gene, upper(trim(human_gene_by_length, ' ')) a, upper(trim(human_gene_by_evalue, ' ')) b, upper(trim(human_gene_by_identity, ' ')) c, upper(trim(human_gene, ' ')) d from homology_summary) select conserved_id, cluster_gene, a gene_by_length, w.grp group_by_length, w.n families_by_length, b gene_by_evalue, x.grp group_by_evalue, x.n families_by_evalue, c gene_by_identity, y.grp group_by_identity, y.n families_by_identity, d gene_by_comprehensive, z.grp group_by_comprehensive, z.n families_by_comprehensive, coalesce(w.grp, x.grp, y.grp, z.grp, '') group_all from h left join gr w on w.name = a left join gr x on x.name = b left join gr y on y.name = c left join gr z on z.name = d",
         "a19_sources": _integrated() + " select concat_ws('+', case when n then 'nucl' end, case when p then 'prot' end, case when g then 'egg' end) sources, count(*) n from al group by 1",
         "c3_profile": f"with {_PLACED} select {_OR.format('family')} family, count(*) n, round(count(*) / (select count(*) from placed), 6) share from placed group by 1",
         "a21_levels": f"with {_PLACED} " + " union all ".join(f"select '{c}' level, {_OR.format(c)} taxon, count(*) n, sum(length_bp) total, round(avg(length_bp), 6) mean from placed group by 2" for c in ("family", "genus", "species")),
@@ -271,7 +376,7 @@ def _sql() -> dict[str, str]:
 QUERIES = {
     f.__name__: f
     for f in (
-        c9_integrated, a19_sources, c3_profile, a21_levels, c20_top_genera, c1_panel, a2_ranks_known, c18_coverage, a22_terms, o12_sample, o7_batches,
+        c9_integrated, j17_annotated_seeds, j37_sampled_rows, j39_set_sizes, j30_by_name, w22_first_symbols, a17_family_names, j19_groups, c10_annotated, a19_sources, c3_profile, a21_levels, c20_top_genera, c1_panel, a2_ranks_known, c18_coverage, a22_terms, o12_sample, o7_batches,
         p23_open_work, a38_completion, j25_by_any_id, g16_flow, c19_evidence, x_sets, w20_first_name, f20_mapped_lists, j12_intervals, j23_fallback, a20_by_genome,
     )
 }
