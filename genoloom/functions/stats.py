@@ -82,14 +82,26 @@ def _beta_fraction(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
     return h
 
 
+#: Stirling's series of the logarithm of the gamma function: 1/12, -1/360, 1/1260, ... over odd powers.
+_STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188)
+
+
 def _lgamma(x: np.ndarray | float) -> np.ndarray:
-    return np.frompyfunc(math.lgamma, 1, 1)(x)
+    """Logarithm of the gamma function of positive numbers; small ones are raised to ten and more first."""
+    x = np.asarray(x, float)
+    up = np.ceil(np.maximum(10 - x, 0))
+    below = np.zeros_like(x)
+    for k in range(10):
+        below += np.where(k < up, np.log(np.where(k < up, x + k, 1.0)), 0.0)
+    y = x + up
+    series = sum(c / y ** (2 * k + 1) for k, c in enumerate(_STIRLING))
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - below
 
 
 def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Regularised incomplete beta function."""
     a, b, x = (np.asarray(v, float) for v in np.broadcast_arrays(a, b, x))
-    front = np.exp((_lgamma(a + b) - _lgamma(a) - _lgamma(b)).astype(float) + a * np.log(np.clip(x, 1e-300, 1)) + b * np.log(np.clip(1 - x, 1e-300, 1)))
+    front = np.exp(_lgamma(a + b) - _lgamma(a) - _lgamma(b) + a * np.log(np.clip(x, 1e-300, 1)) + b * np.log(np.clip(1 - x, 1e-300, 1)))
     low = x < (a + 1) / (a + b + 2)
     one = front * _beta_fraction(np.where(low, a, b), np.where(low, b, a), np.where(low, x, 1 - x)) / np.where(low, a, b)
     out = np.where(low, one, 1 - one)
@@ -115,12 +127,14 @@ def hypergeometric_tail(x: Column, m: Column, k: Column, n: Column) -> Column:
 
     @F.pandas_udf("double")
     def tail(x: pd.Series, m: pd.Series, k: pd.Series, n: pd.Series) -> pd.Series:
-        choose = lambda a, b: (_lgamma(a + 1.0) - _lgamma(b + 1.0) - _lgamma(a - b + 1.0)).astype(float)
-        out = []
-        for xi, mi, ki, ni in zip(x, m, k, n):
-            i = np.arange(max(xi, ki - (ni - mi)), min(ki, mi) + 1, dtype=float)
-            out.append(min(1.0, float(np.exp(choose(float(mi), i) + choose(float(ni - mi), ki - i) - choose(np.array([float(ni)]), np.array([float(ki)]))).sum())) if len(i) else 0.0)
-        return pd.Series(out, x.index)
+        x, m, k, n = (v.to_numpy(float) for v in (x, m, k, n))
+        choose = lambda a, b: _lgamma(a + 1) - _lgamma(b + 1) - _lgamma(a - b + 1)
+        low, high = np.maximum(x, k - (n - m)), np.minimum(k, m)
+        terms = np.maximum(high - low + 1, 0).astype(np.int64)  # all terms of all rows side by side
+        row = np.repeat(np.arange(len(x)), terms)
+        i = np.arange(len(row)) - np.repeat(np.cumsum(terms) - terms, terms) + low[row]
+        p = np.exp(choose(m[row], i) + choose((n - m)[row], k[row] - i) - choose(n, k)[row])
+        return pd.Series(np.minimum(np.bincount(row, weights=p, minlength=len(x)), 1.0))
 
     return tail(x.cast("long"), m.cast("long"), k.cast("long"), n.cast("long"))
 

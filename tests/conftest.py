@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,7 +14,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 def spark():
     s = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "6g").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.default.parallelism", "4").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.default.parallelism", "4").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-tests-")).getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -89,3 +89,52 @@ def test_incremental_loading(spark, tmp_path):
     (tmp_path / "in" / "2.csv").write_text("2,b\n-1,c\n")
     assert run() == 1
     assert {(r.k, r.v) for r in spark.read.parquet(at[1]).collect()} == {(1, "a"), (2, "b")}
+
+
+def test_marks_inside_lines(spark, tmp_path):
+    (tmp_path / "s.fa").write_text(">a 5'->3' [b->c]\nAC\nGT\n>b\nAA>TT\n>c\n")
+    assert [tuple(r) for r in files.fasta(spark, str(tmp_path / "s.fa")).collect()] == [("a 5'->3' [b->c]", "ACGT"), ("b", "AA>TT"), ("c", "")]
+    (tmp_path / "x_with_y.tsv").write_text("\n#1\tNZ_1_with_NZ_2:#3\tt#\t0.5\t0.1\t2\n>a#1\tb>\n\n#2\tq\tt\t0.5\t0.1\t2\n>c\td\n")
+    got = [(r.block, r.query, r.target, r.gene_a, r.gene_b) for r in files.blocks(spark, str(tmp_path / "x_with_y.tsv")).collect()]
+    assert got == [("1", "NZ_1_with_NZ_2:#3", "t#", "a#1", "b>"), ("2", "q", "t", "c", "d")]
+
+
+def test_files_keep_their_own_headers(spark, tmp_path):
+    (tmp_path / "anno").mkdir()
+    (tmp_path / "anno" / "c1.tsv").write_text("## x\n#query\tGOs\tDescription\nq1\tg1\td1\n")
+    (tmp_path / "anno" / "c2.tsv").write_text("## x\n#query\tDescription\tKEGG\nq2\td2\tk2\n## end\n")
+    got = {r.file: r.asDict() for r in files.annotations(spark, str(tmp_path / "anno"), with_file=True).collect()}
+    assert got["c1.tsv"] == {"file": "c1.tsv", "query": "q1", "GOs": "g1", "Description": "d1", "KEGG": None}
+    assert got["c2.tsv"] == {"file": "c2.tsv", "query": "q2", "GOs": None, "Description": "d2", "KEGG": "k2"}
+    (tmp_path / "gct").mkdir()
+    (tmp_path / "gct" / "1.gct").write_text("#1.2\n1\t2\nName\tDescription\ts1\ts2\nE1\tA\t1\t2\n")
+    (tmp_path / "gct" / "2.gct").write_text("#1.2\n1\t1\nName\tDescription\ts3\nE1\tA\t3\nE2\tB\t4\t5\n")
+    assert {(r.sample, r.value) for r in files.expression_matrix(spark, str(tmp_path / "gct")).collect()} == {("s1", 1.0), ("s2", 2.0), ("s3", 3.0)}
+
+
+def test_folder_of_genomes_is_written_back(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    line = "{0}\tp\tCDS\t{1}\t99\t.\t-\t0\tID=x"
+    for name in ("g1.gff", "g2.gff"):
+        (tmp_path / "in" / name).write_text("\n".join(["##gff-version 3", "##sequence-region c1 1 9", line.format("c1", 5), line.format("c1", 7), "##sequence-region c2 1 9", line.format("c2", 8)]) + "\n")
+    df = files.corrected_strands(spark, str(tmp_path / "in"))
+    sinks.lines(df, str(tmp_path / "out"), "file", [F.asc("region"), F.asc("at")])
+    for name in ("g1.gff", "g2.gff"):
+        parts = sorted((tmp_path / "out" / f"file={name}").glob("*.txt"))
+        got = "".join(p.read_text() for p in parts).splitlines()
+        assert got[:2] == ["##gff-version 3", "##sequence-region c1 1 9"] and [x.split("\t")[6] for x in got if "CDS" in x] == ["+", "-", "+"] and got[4] == "##sequence-region c2 1 9"
+
+
+def test_blocks_are_sorted_file_by_file(spark, tmp_path):
+    rows = [("f1", "1", 0.5, 0.1, 2), ("f1", "2", 0.1, 0.2, 2), ("f1", "3", 0.1, 0.1, 2), ("f1", "4", None, 0.1, 9), ("f2", "5", 0.9, 0.9, 1)]
+    df = spark.createDataFrame([(f, b, "q", "t", p, m, n, k, f"a{k}", "x") for f, b, p, m, n in rows for k in range(n)], "file string, block string, query string, target string, cluster_p double, multihit_p double, gene_count int, at int, gene_a string, gene_b string")
+    sinks.blocks(df, str(tmp_path / "out"))
+    order = lambda f: [x.split("\t")[0] for p in sorted((tmp_path / "out" / f"file={f}").glob("*.txt")) for x in p.read_text().splitlines() if x.startswith("#")]
+    assert order("f1") == ["#3", "#2", "#1", "#4"] and order("f2") == ["#5"]
+    assert files.blocks(spark, str(tmp_path / "out")).where("file = 'f1'").count() == 15
+
+
+def test_commented_list(spark, tmp_path):
+    sinks.commented_list(spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "x string"), str(tmp_path / "o"), "x", ["n = 2"])
+    assert "".join(p.read_text() for p in sorted((tmp_path / "o").glob("*.txt"))) == "# n = 2\na\nb\n"
+    assert [r.id for r in files.id_list(spark, str(tmp_path / "o")).collect()] == ["a", "b"]

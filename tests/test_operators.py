@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from genoloom.functions import parse, stats
 from genoloom.operators import enrich, expression, graph, integrate, ranking, sets
@@ -240,3 +241,20 @@ def test_slim_counts_over_the_closure(spark):
     rows = spark.createDataFrame([("a1", "g1"), ("x", "g1"), ("x", "g2"), ("b", "g3"), ("q", "g9")], "term string, gene string")
     level = spark.createDataFrame([("a",), ("b",)], "term string")
     assert {tuple(r) for r in enrich.slim(rows, links, level).collect()} == {("a", 2), ("b", 3)}
+
+
+def test_log_gamma():
+    x = np.concatenate([np.arange(1, 400) / 8, [1e3, 1e6, 1e9]])
+    assert stats._lgamma(x) == pytest.approx([math.lgamma(v) for v in x], rel=1e-12, abs=1e-12)
+
+
+def test_short_ids_and_positions(spark):
+    df = spark.createDataFrame([("a_b_7_9_3",), ("a_b_3",), ("a_b_x_y",), (None,)], "g string").select("g", parse.short_gene_interval("g").alias("i"), parse.first_tokens("g").alias("t")).orderBy("g")
+    got = {r.g: ((r.i.contig, r.i.start, r.i.end), r.t) for r in df.collect()}
+    assert got == {"a_b_7_9_3": (("a_b", 3, 9), "a_b"), "a_b_3": ((None, None, None), "a_b"), "a_b_x_y": (("a_b", None, None), "a_b"), None: ((None, None, None), None)}
+    left, right = (spark.createDataFrame([(x,) for x in v], f"{c} string") for c, v in (("p", "cab"), ("q", "z")))
+    assert {tuple(r) for r in integrate.zipped(left, [F.asc("p")], right, [F.asc("q")]).collect()} == {(1, "a", "z"), (2, "b", None), (3, "c", None)}
+    assert integrate.existing(left, ["x", "p"]).columns == ["p"]
+    one_ = spark.createDataFrame([("K;P;F", "k;p;f", "x.fna")], "n string, r string, f string")
+    row = one_.select(parse.lineage_rank("n", "r", "p").alias("p"), *parse.lineage_levels("n", list("abcd")), parse.strip_suffix("f", [".fna"]).alias("f"), parse.aliased("f", {"x.fna": "X"}).alias("g")).first()
+    assert tuple(row) == ("P", "K", "P", "F", "", "x", "X")
