@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Bytes of text worked on at once, and words kept between batches (then all are forgotten).
@@ -225,8 +226,8 @@ class Tokenizer:
 
 @lru_cache(2)
 def load(path: str) -> Tokenizer:
-    """The tokenizer, once per Python worker."""
-    return Tokenizer(path)
+    """The tokenizer, once per Python worker: at its path, or as the driver sent it where this machine has none there."""
+    return Tokenizer(path if os.path.isfile(path) else SparkFiles.get(os.path.basename(path)))
 
 
 def _parts(data: np.ndarray, begin: int, end: int) -> Iterator[tuple[int, int]]:
@@ -301,6 +302,14 @@ def _counter(path: str):
     return run
 
 
+def _sent(df: DataFrame, path: str) -> str:
+    """``path``, its file (a few megabytes) having been sent to the cluster's machines."""
+    sc = df.sparkSession.sparkContext
+    if os.path.isfile(path) and not sc.master.startswith("local"):
+        sc.addFile(path)
+    return path
+
+
 def _two(df: DataFrame, row_id: str, text: str | Column) -> DataFrame:
     column = F.col(text) if isinstance(text, str) else text
     return df.select(F.col(row_id).cast("long").alias("row_id"), column.cast("string").alias("text"))
@@ -313,9 +322,9 @@ def encode(df: DataFrame, row_id: str, text: str | Column, path: str | None = No
     whole; other columns are ignored; an empty table gives no rows. No shuffle: each input partition is
     encoded where it is read.
     """
-    return _two(df, row_id, text).mapInArrow(_encoder(path or default_path()), "row_id long, ids array<int>").withColumnRenamed("row_id", row_id)
+    return _two(df, row_id, text).mapInArrow(_encoder(_sent(df, path or default_path())), "row_id long, ids array<int>").withColumnRenamed("row_id", row_id)
 
 
 def token_counts(df: DataFrame, row_id: str, text: str | Column, path: str | None = None) -> DataFrame:
     """(row_id, tokens) of each row, as ``encode`` would give; 0 for null and empty text."""
-    return _two(df, row_id, text).mapInArrow(_counter(path or default_path()), "row_id long, tokens long").withColumnRenamed("row_id", row_id)
+    return _two(df, row_id, text).mapInArrow(_counter(_sent(df, path or default_path())), "row_id long, tokens long").withColumnRenamed("row_id", row_id)
