@@ -1,8 +1,8 @@
 """Per-key results where a few keys hold most rows.
 
 States are merged in a tree: rows of fixed-size input chunks are combined first, then ``fan_in`` nodes
-at a time until one is left. No task ever sees more than ``fan_in`` states of a key, whatever share of
-the rows the key holds. What isn't of bounded size for one key (the set of its distinct values, the
+at a time until one is left. Chunks are dealt to the first nodes by hash, ``fan_in`` to each on average;
+every later node takes the states of exactly ``fan_in`` nodes, whatever share of the rows a key holds. What isn't of bounded size for one key (the set of its distinct values, the
 histogram of a figure) is kept as rows of (key, value), never as one row's array, so that it spreads too.
 """
 

@@ -275,7 +275,7 @@ def k10_outputs(spark: SparkSession, base: str) -> DataFrame:
     return out
 
 
-def s13_loaded(spark: SparkSession, base: str) -> DataFrame:
+def stream_loaded(spark: SparkSession, base: str) -> DataFrame:
     """Hit lines loaded as a stream of files, each once, in two runs: what came later is added, what was there isn't repeated."""
     scratch = Scratch(spark)
     rows = table(spark, base, "blast_hit").select("hit_id", "conserved_id", "bit_score")
@@ -336,7 +336,7 @@ def j18_zipped(spark: SparkSession, base: str) -> DataFrame:
 def _queries() -> dict:
     fs = (
         s1_headed, s14_quoted, s3_ids, s4_distances, s6_assemblies, s7_accessions, s8_gff, s9_intervals, q22_strands, s10_best_files, s31_listing, j7_sizes, a12_known_sizes, o8_largest_files, j6_first_files,
-        s11_fasta, c7_recruited, s12_blocks, s17_hits, s18_families, s19_annotations, s21_matrix, s22_samples, j26_pathways, s28_seeds, k8_manifest, k10_outputs, s13_loaded, f24_lineages, f9_short_ids, q24_targets,
+        s11_fasta, c7_recruited, s12_blocks, s17_hits, s18_families, s19_annotations, s21_matrix, s22_samples, j26_pathways, s28_seeds, k8_manifest, k10_outputs, stream_loaded, f24_lineages, f9_short_ids, q24_targets,
         o13_head, o14_first_clusters, j18_zipped,
     )
     return {f.__name__: f for f in fs}
@@ -383,7 +383,7 @@ def _sql() -> dict[str, str]:
         "k8_manifest": r"select distinct '/all/' || gcf || '.fna.gz' source, '/panel/' || regexp_replace(gcf, '\.[0-9]+$', '') || '.fna.gz' target from taxonomy where gcf is not null",
         "k10_outputs": _BEST + """, o as (select 'summary' output, 19 + 1 n_columns, subject_by_length s from best union all select 'simple', 4, subject_by_comprehensive from best union all select 'clean', 20, case when length(subject_by_length) > 8 then left(subject_by_length, 5) || '...' else subject_by_length end from best"""
         + "".join(f" union all select 'by_{x}', 6, subject_by_{x} from best" for x in ("length", "evalue", "identity", "comprehensive")) + ") select output, n_columns, count(*) n_rows, count(*) n_keys, max(length(s)) longest from o group by 1, 2",
-        "s13_loaded": "select conserved_id, count(*) n, count(distinct hit_id) n_hits from blast_hit where hit_id is not null group by 1",
+        "stream_loaded": "select conserved_id, count(*) n, count(distinct hit_id) n_hits from blast_hit where hit_id is not null group by 1",
         "f24_lineages": "with l as (select contig, string_split(concat_ws(';', kingdom, phylum, tax_class, tax_order, family, genus, species), ';') l, family, genus from taxonomy) select contig, " + ", ".join(f"coalesce(l[{k}], '') level_{k}" for k in range(1, 8)) + ", family, genus from l",
         "f9_short_ids": f"with {_MEMBER}, d as (select distinct conserved_id, gene from member), t as (select string_split(gene, '_') f from d), u as (select array_to_string(f[1:2], '_') tokens, case when len(f) >= 4 then array_to_string(f[1:2], '_') end c, case when len(f) >= 4 then try_cast(f[-2] as bigint) end a, case when len(f) >= 4 then try_cast(f[-1] as bigint) end b from t) select tokens, count(*) n, count(c) n_contigs, min(least(a, b)) as least, max(greatest(a, b)) most from u group by 1",
         "q24_targets": f"with {_AT}, met as (select distinct query, target from occ), ev as (select distinct target o from met where target is not null) select query, count(*) filter (target <> query) n_met, (select count(*) from ev where o <> query) - count(*) filter (target <> query) n_open from met group by 1",

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +38,26 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+_LOCK, _INSIDE, _HAD = threading.Lock(), [0], [None]
+
+
+@contextmanager
+def _cleanup(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go with their queries while any thread is inside; the session's own setting comes back with the last one."""
+    with _LOCK:
+        if not _INSIDE[0]:
+            _HAD[0] = spark.conf.get(CLEANUP, None)
+            spark.conf.set(CLEANUP, "true")
+        _INSIDE[0] += 1
+    try:
+        yield
+    finally:
+        with _LOCK:
+            _INSIDE[0] -= 1
+            if not _INSIDE[0]:
+                spark.conf.unset(CLEANUP) if _HAD[0] is None else spark.conf.set(CLEANUP, _HAD[0])
+
+
 class Scratch:
     """Tables written to the shared folder; each cuts lineage and survives the loss of executors.
 
@@ -60,12 +83,8 @@ class Scratch:
         """(the table as written, its path). Shuffle files of the job that writes it go with the job."""
         self.n += 1
         at = f"{self.base}/{self.n}"
-        conf, had = self.spark.conf, self.spark.conf.get(CLEANUP, None)
-        conf.set(CLEANUP, "true")
-        try:
+        with _cleanup(self.spark):
             (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(at)
-        finally:
-            conf.unset(CLEANUP) if had is None else conf.set(CLEANUP, had)
         return self.spark.read.schema(df.schema).parquet(at), at
 
     def drop(self, *paths: str) -> None:
