@@ -27,3 +27,4 @@ def test_entry(spark):
 
 def test_names():
     assert set(e.oracle_sql()) <= set(e.queries())
+    assert set(CORE) <= set(e.oracle_sql())
