@@ -39,7 +39,8 @@ def top_n(df: DataFrame, group: str, score: str, tie: str, row_id: str, n: int =
     rest_at = None
     for k in range(len(cuts) + 1):
         found = banded.where(F.col("band") == k).drop("band").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
-        found = best(found, "g", "salt").drop("rank", "salt").dropDuplicates()
+        # Equal rows share a salt: with it among the keys they are found where they lie, without a shuffle.
+        found = best(found, "g", "salt").drop("rank").dropDuplicates().drop("salt")
         if full is not None:
             found = found.join(full.where("rank = 1").select("g"), "g", "left_anti").unionByName(rest)
         ranked = best(found, "g").withColumn("filled", F.max("rank").over(W.partitionBy("g")) >= n)
