@@ -190,7 +190,7 @@ def s18_families(spark: SparkSession, base: str) -> DataFrame:
     at = Scratch(spark).at("families")
     genes = parse.items("gene_list")
     rows = table(spark, base, "conserved_cluster").select("conserved_id", F.get(genes, F.lit(0)).alias("first"), F.explode(genes).alias("gene"))
-    rows.select("conserved_id", text("first", "gene").alias("value")).write.partitionBy("conserved_id").text(at)
+    sinks.by_file(rows.select("conserved_id", text("first", "gene").alias("value")), at, "conserved_id")
     prefixed = lambda c: F.concat_ws("|", "conserved_id", c)
     return files.delimited(spark, at, "family_pairs").select(prefixed("member").alias("gene_id"), prefixed("representative").alias("cluster_representative"))
 

@@ -14,18 +14,29 @@ def fasta(df: DataFrame, path: str, header: str, sequence: str, partition: str |
     """A sequence file per value of ``partition``; values without rows give no file."""
     text = F.concat(F.lit(">"), F.col(header), F.lit("\n"), F.col(sequence)).alias("value")
     out = df.where(F.col(sequence).isNotNull()).select(text, *([partition] if partition else []))
-    (out.write.partitionBy(partition) if partition else out.write).text(path)
+    by_file(out, path, partition) if partition else out.write.text(path)
+
+
+def parts(df: DataFrame) -> int:
+    """As many tasks as shuffles have. Named to a repartitioning, so that small outputs of very many files aren't gathered in one task."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def by_file(df: DataFrame, path: str, file: str, value: str = "value") -> None:
+    """Text lines in any order, a folder per ``file``; a large file is several parts, a small one mostly a single one."""
+    placed = df.repartitionByRange(parts(df), F.col(file), F.xxhash64(value))
+    placed.select(F.col(value).alias("value"), file).write.partitionBy(file).text(path)
 
 
 def lines(df: DataFrame, path: str, file: str, order: list[Column], value: str = "value") -> None:
     """Text lines in order, a folder per ``file``; a large file's lines are several parts whose names follow the order."""
-    placed = df.repartitionByRange(F.col(file), *order).sortWithinPartitions(F.col(file), *order)
+    placed = df.repartitionByRange(parts(df), F.col(file), *order).sortWithinPartitions(F.col(file), *order)
     placed.select(F.col(value).alias("value"), file).write.partitionBy(file).text(path)
 
 
 def whole_files(df: DataFrame, path: str, file: str, order: list[Column], value: str = "value") -> None:
     """Text lines in order, one part per ``file``, for layouts whose first lines hold for the whole file."""
-    df.repartition(file).sortWithinPartitions(F.col(file), *order).select(F.col(value).alias("value"), file).write.partitionBy(file).text(path)
+    df.repartition(parts(df), file).sortWithinPartitions(F.col(file), *order).select(F.col(value).alias("value"), file).write.partitionBy(file).text(path)
 
 
 def commented_list(df: DataFrame, path: str, item: str, comments: list[str]) -> None:
