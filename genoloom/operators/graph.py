@@ -48,23 +48,36 @@ def neighbourhood(edges: DataFrame, seeds: DataFrame, per_seed: int = 10) -> Dat
     return seeds.select("node").distinct().withColumn("is_seed", F.lit(True)).unionByName(new.withColumn("is_seed", F.lit(False)))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node reachable from each.
+def hashed(edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(nodes (id, node), the edges between ids): 64-bit hashes, which rounds shuffle and sort faster than texts.
 
-    Rounds work on 64-bit hashes (another seed is taken should two nodes share one); in each a node takes
-    the least label among its neighbours and then that label's own. Labels are written once a round.
+    Should two nodes share a hash another seed is taken, so that results are exact. The nodes are a written table.
     """
-    scratch = Scratch(edges.sparkSession)
     ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     seed = 0
     while True:
         key = lambda c, seed=seed: F.xxhash64(c) if not seed else F.xxhash64(F.lit(seed), c)
         nodes, nodes_at = scratch.put(ends.select(key(F.col("node")).alias("id"), "node"))
         if nodes.groupBy("id").count().where("count > 1").isEmpty():
-            break
+            return nodes, edges.withColumns({"a": key(F.col("a")), "b": key(F.col("b"))})
         scratch.drop(nodes_at)
         seed += 1
-    links, _ = scratch.put(both_ways(edges.select(key(F.col("a")).alias("a"), key(F.col("b")).alias("b"))))
+
+
+def named(nodes: DataFrame, figures: DataFrame) -> DataFrame:
+    """``figures`` (node, ...) of hashed nodes under their names."""
+    return figures.withColumnRenamed("node", "id").join(nodes, "id").select("node", *(c for c in figures.columns if c != "node"))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): the smallest node reachable from each.
+
+    In each round a node takes the least label among its neighbours and then that label's own. Labels are
+    written once a round.
+    """
+    scratch = Scratch(edges.sparkSession)
+    nodes, links = hashed(edges.select("a", "b"), scratch)
+    links, _ = scratch.put(both_ways(links))
     labels, at = scratch.put(links.groupBy("node").agg(F.least("node", F.min("other")).alias("label")))
     while True:
         seen = links.join(labels.select(F.col("node").alias("other"), F.col("label").alias("near")), "other").groupBy("node").agg(F.min("near").alias("near"))
@@ -76,7 +89,7 @@ def components(edges: DataFrame) -> DataFrame:
         labels, at = now.drop("changed"), now_at
         if done:
             break
-    placed = nodes.join(labels.withColumnRenamed("node", "id"), "id").select("node", "label")
+    placed = named(nodes, labels)
     return placed.join(placed.groupBy("label").agg(F.min("node").alias("component")), "label").select("node", "component")
 
 
@@ -88,7 +101,8 @@ def page_rank(edges: DataFrame, rounds: int | None = None, damping: float = 0.85
     weighted against the last but one (Chebyshev), which takes about a third of the plain rounds.
     """
     scratch = Scratch(edges.sparkSession)
-    links = both_ways(edges)
+    names, links = hashed(edges, scratch)
+    links = both_ways(links)
     out = links.groupBy("node").agg(F.sum("score").alias("all"))
     shares = links.join(out, "node").select("node", "other", (F.col("score") / F.col("all")).alias("share"))
     # A node's own figures come to it by a link of its own, so that a round reads the last one once.
@@ -113,7 +127,7 @@ def page_rank(edges: DataFrame, rounds: int | None = None, damping: float = 0.85
         ranks, at = now, now_at
         if not change > tolerance:
             break
-    return ranks.select("node", "rank")
+    return named(names, ranks.select("node", "rank"))
 
 
 def eigenvector(edges: DataFrame, tolerance: float = 1e-8) -> DataFrame:
@@ -156,7 +170,8 @@ def eigenvector(edges: DataFrame, tolerance: float = 1e-8) -> DataFrame:
 def core(edges: DataFrame, k: int) -> DataFrame:
     """Edges of the k-core: nodes of fewer than k neighbours left are peeled off until all have as many; a few rounds are one job."""
     scratch = Scratch(edges.sparkSession)
-    links, _ = scratch.put(both_ways(edges.select("a", "b").distinct()))
+    names, links = hashed(edges.select("a", "b").distinct(), scratch)
+    links, _ = scratch.put(both_ways(links))
     left, at = scratch.put(links.select("node").distinct())
     before = left.count()
     while True:
@@ -167,7 +182,7 @@ def core(edges: DataFrame, k: int) -> DataFrame:
         scratch.drop(at)
         left, at, after = now, now_at, now.count()
         if after == before:
-            return induced(edges, left)
+            return induced(edges, named(names, left))
         before = after
 
 
@@ -180,7 +195,8 @@ def coreness(edges: DataFrame) -> DataFrame:
     one job.
     """
     scratch = Scratch(edges.sparkSession)
-    links, _ = scratch.put(both_ways(edges.select("a", "b").distinct()))
+    names, links = hashed(edges.select("a", "b").distinct(), scratch)
+    links, _ = scratch.put(both_ways(links))
     now, at = scratch.put(links.groupBy("node").agg(F.count(F.lit(1)).alias("core")))
     total = lambda: now.agg(F.sum("core")).first()[0]
     before = total()
@@ -194,7 +210,7 @@ def coreness(edges: DataFrame) -> DataFrame:
         scratch.drop(at)
         at, after = now_at, total()
         if after == before:
-            return now
+            return named(names, now)
         before = after
 
 
