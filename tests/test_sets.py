@@ -5,6 +5,7 @@ from itertools import combinations
 
 import pytest
 from genoloom.operators import sets
+from genoloom.session import Scratch
 
 
 def clusters(seed):
@@ -44,3 +45,17 @@ def test_against_greedy_loops(spark, seed):
     sigs = sets.signatures(spark.createDataFrame(rows, "s string, k int, g string"), "s", "k", "g")
     assert {frozenset(r.genes) for r in sets.maximal(sets.recurring(sigs)).collect()} == greedy_maximal(found)
     assert {frozenset(r.genes): (r.n_clusters, r.n_species) for r in sets.closed(sigs).collect()} == greedy_closed(found)
+
+
+def joins(df, kind):
+    """The planned joins of that kind."""
+    return [x.strip() for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if f", {kind}" in x]
+
+
+def test_index_of_pairs_is_never_broadcast(spark):
+    """A written table of sets is small beside its pairs of genes, which must not go through the driver."""
+    found, _ = Scratch(spark).put(spark.createDataFrame([(sorted(g),) for g in {frozenset(x) for x in combinations("abcdefgh", 4)}], "genes array<string>"))
+    anti = joins(sets.maximal(found), "LeftAnti")
+    assert anti and all("SortMergeJoin" in x for x in anti)
+    pairs = [x for x in joins(sets.supersets(found, found), "Inner") if "pair" in x]
+    assert pairs and all("SortMergeJoin" in x for x in pairs)
