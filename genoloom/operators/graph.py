@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.parse import pair_key
@@ -186,32 +188,92 @@ def core(edges: DataFrame, k: int) -> DataFrame:
         before = after
 
 
-def coreness(edges: DataFrame) -> DataFrame:
+#: Edges that one task finishes by itself: some 260 MB in numpy.
+IN_ONE_TASK = 2_000_000
+
+
+def _peeled(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, their cores) of a simple graph's edges, by peeling: each node and each end of an edge is looked at once."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    to = np.concatenate([ends[len(a) :], ends[: len(a)]])[np.argsort(ends, kind="stable")]
+    left = degree = np.bincount(ends, minlength=len(nodes))
+    start, left = np.cumsum(degree) - degree, left.copy()
+    cores, held, rest, k = np.zeros(len(nodes), np.int64), np.ones(len(nodes), bool), np.arange(len(nodes)), 0
+    while len(rest):
+        k = max(k, int(left[rest].min()))
+        front = rest[left[rest] <= k]
+        while len(front):
+            cores[front], held[front] = k, False
+            size = degree[front]
+            near = to[np.repeat(start[front] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+            near, times = np.unique(near[held[near]], return_counts=True)
+            left[near] -= times
+            front = near[left[near] <= k]
+        rest = rest[held[rest]]
+    return nodes, cores
+
+
+def _in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) in, (node, core) out."""
+    parts = [(x.column(0).to_numpy(), x.column(1).to_numpy()) for x in batches if x.num_rows]
+    if parts:
+        nodes, cores = _peeled(*(np.concatenate(x) for x in zip(*parts)))
+        yield from pa.table({"node": nodes, "core": cores}).to_batches(65_536)
+
+
+def coreness(edges: DataFrame, in_one_task: int = IN_ONE_TASK) -> DataFrame:
     """(node, core): the largest k whose k-core holds the node.
 
     Every node begins with its degree and then, round by round, takes the largest h such that at least h
     neighbours have a value of h or more; values only fall, and once their sum stays they are the cores.
     Neighbours count by (node, value), so that a hub's neighbours never meet in one row; a few rounds are
-    one job.
+    one job. After each, nodes whose value is no more than the least core still possible are done and
+    leave with their edges; once ``in_one_task`` edges or fewer are left, one task peels them to the end,
+    since chains of matches would take a round for each of their nodes.
     """
     scratch = Scratch(edges.sparkSession)
     names, links = hashed(edges.select("a", "b").distinct(), scratch)
-    links, _ = scratch.put(both_ways(links))
-    now, at = scratch.put(links.groupBy("node").agg(F.count(F.lit(1)).alias("core")))
-    total = lambda: now.agg(F.sum("core")).first()[0]
-    before = total()
+    links, links_at = scratch.put(links)
+    now, at, done, lower = None, None, [], 1
     while True:
+        # Nodes that left have cores of at most ``lower``, so that those that stay have the cores of what is left, or ``lower``.
+        if links.count() <= in_one_task:
+            last = links.coalesce(1).mapInArrow(_in_one_task, "node long, core long")
+            if now is not None:
+                last = now.select("node").join(last, "node", "left").select("node", F.greatest("core", F.lit(lower)).alias("core"))
+            done.append(scratch.put(last)[0])
+            break
+        both = both_ways(links)
+        degree = both.groupBy("node").agg(F.count(F.lit(1)).alias("core"))
+        if now is None:
+            now, at = scratch.put(degree)
+        before = now.agg(F.sum("core")).first()[0]
         step = now
         for _ in range(TOGETHER):
-            values = links.join(step.select(F.col("node").alias("other"), F.col("core").alias("v")), "other").groupBy("node", "v").agg(F.count(F.lit(1)).alias("n"))
+            values = both.join(step.select(F.col("node").alias("other"), F.col("core").alias("v")), "other").groupBy("node", "v").agg(F.count(F.lit(1)).alias("n"))
             upto = F.sum("n").over(W.partitionBy("node").orderBy(F.desc("v")).rowsBetween(W.unboundedPreceding, 0))
-            step = values.withColumn("h", F.least("v", upto)).groupBy("node").agg(F.max("h").alias("core"))
-        now, now_at = scratch.put(step)
+            step = values.withColumn("h", F.least("v", upto)).groupBy("node").agg(F.greatest(F.max("h"), F.lit(lower)).alias("core"))
+        # Nodes without an edge left have the least core.
+        step, _ = scratch.put(now.select("node").join(step, "node", "left").select("node", F.coalesce("core", F.lit(lower)).alias("core")))
         scratch.drop(at)
-        at, after = now_at, total()
+        after = step.agg(F.sum("core")).first()[0]
         if after == before:
-            return named(names, now)
-        before = after
+            done.append(step)
+            break
+        done.append(step.where(F.col("core") <= lower))
+        now, at = scratch.put(step.where(F.col("core") > lower))
+        fewer, fewer_at = scratch.put(induced(links, now))
+        scratch.drop(links_at)
+        links, links_at = fewer, fewer_at
+        # What is left has at least the least degree in it as its cores, if all its nodes still have an edge.
+        degrees_left = both_ways(links).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+        least, n = degrees_left.agg(F.min("n"), F.count(F.lit(1))).first()
+        if n and n == now.count():
+            lower = max(lower, least)
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return named(names, out)
 
 
 def larger_cliques(edges: DataFrame, found: DataFrame, size: int) -> DataFrame:

@@ -56,3 +56,36 @@ def test_centralities_are_converged(spark):
     assert [ranks[n] for n in names] == pytest.approx(rank, abs=1e-9)
     assert [values[n] for n in names] == pytest.approx(leading / leading.max(), abs=1e-6)
     assert graph.eigenvector(edges.limit(0)).isEmpty() and graph.page_rank(edges.limit(0)).isEmpty()
+
+
+def test_cores_need_no_round_for_each_node_of_a_chain(spark):
+    chain = spark.createDataFrame([(f"n{k:04}", f"n{k + 1:04}") for k in range(300)], "a string, b string")
+    spark.sparkContext.setJobGroup("chain", "cores of a chain")
+    got = graph.coreness(chain).collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("chain")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(got) == 301 and {r.core for r in got} == {1} and len(jobs) < 40
+
+
+@pytest.mark.parametrize("in_one_task", [0, 25, 2_000_000])
+def test_cores_do_not_depend_on_what_one_task_finishes(spark, in_one_task):
+    """Dense parts with chains and trees hanging on them, between them and by themselves."""
+    r = np.random.default_rng(5)
+    rows = {(f"d{i:02}", f"d{j:02}") for i in range(14) for j in range(i + 1, 14) if r.random() < 0.6} | {(f"e{i}", f"e{j}") for i in range(5) for j in range(i + 1, 5)}
+    rows |= {(f"t{k // 2:02}", f"t{k:02}") for k in range(1, 12)} | {("d00", "t00"), ("e0", "x0"), ("d01", "x5")} | {(f"x{k}", f"x{k + 1}") for k in range(5)} | {(f"y{k:02}", f"y{k + 1:02}") for k in range(20)}
+    near = {}
+    for a, b in rows:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    cores, left, k = {}, {v: set(o) for v, o in near.items()}, 0
+    while left:
+        k += 1
+        while weak := [v for v in left if len(left[v]) < k]:
+            for v in weak:
+                cores[v] = k - 1
+                for o in left.pop(v):
+                    if o in left:
+                        left[o].discard(v)
+    assert max(cores.values()) > 4 and min(cores.values()) == 1
+    got = graph.coreness(spark.createDataFrame(sorted(rows), "a string, b string"), in_one_task).collect()
+    assert {x.node: x.core for x in got} == cores and len(got) == len(cores)
