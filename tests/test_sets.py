@@ -3,6 +3,7 @@
 import random
 from itertools import combinations
 
+import __spark_entry__ as e
 import pytest
 from genoloom.operators import sets
 from genoloom.session import Scratch
@@ -59,3 +60,8 @@ def test_index_of_pairs_is_never_broadcast(spark):
     assert anti and all("SortMergeJoin" in x for x in anti)
     pairs = [x for x in joins(sets.supersets(found, found), "Inner") if "pair" in x]
     assert pairs and all("SortMergeJoin" in x for x in pairs)
+
+
+def test_kept_sets_are_never_broadcast(spark):
+    semi = joins(e.queries()["a8_set_members"](spark, "/root/testdata/sf0.001"), "LeftSemi")
+    assert len(semi) == 2 and "SortMergeJoin" in semi[0]  # that of the members comes before that within the sets
