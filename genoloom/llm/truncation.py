@@ -255,16 +255,18 @@ def ending_odds(texts: DataFrame, went_on: DataFrame, kappa: float = KAPPA) -> D
 
     Texts count m times (their copies) with their probability of being complete, the text itself and its
     copies not at all; each longer context's rate of ending is smoothed towards the shorter one's. Contexts
-    are a bounded alphabet, so the rates are worked out per context and joined to the texts once.
+    are a bounded alphabet, so the rates are worked out per context and joined to the texts once. They are
+    written before: one plan for all of it takes the driver much memory.
     """
     whole = F.col("m") * (F.lit(1.0) - F.col("p"))
-    ended = texts.groupBy("kind", "code").agg(F.sum(whole).alias("ended"))
+    scratch = Scratch(texts.sparkSession)
+    ended, _ = scratch.put(texts.groupBy("kind", "code").agg(F.sum(whole).alias("ended")))
     rows = ended.select("kind", "code", "ended", _levels(F.col("code"))).select("kind", "code", "ended", "at.*")
     sums = rows.groupBy("kind", "level", "c").agg(F.sum("ended").alias("e")).join(went_on, ["kind", "level", "c"], "left").withColumn("g", F.coalesce("went_on", F.lit(0)).cast("double"))
     means = went_on.where("level = 0").groupBy("kind").agg(F.sum("went_on").alias("positions"))
     means = ended.groupBy("kind").agg(F.sum("ended").alias("texts")).join(means, "kind", "left")
     means = means.select("kind", ((F.coalesce("positions", F.lit(0)) + F.col("texts")) / F.greatest("texts", F.lit(1.0))).alias("mean"))
-    steps = rows.join(sums, ["kind", "level", "c"]).groupBy("kind", "code").agg(F.array_sort(F.collect_list(F.struct("level", "e", "g"))).alias("steps")).join(means, "kind")
+    steps, _ = scratch.put(rows.join(sums, ["kind", "level", "c"]).groupBy("kind", "code").agg(F.array_sort(F.collect_list(F.struct("level", "e", "g"))).alias("steps")).join(means, "kind"))
 
     def rate(before: Column, x: Column) -> Column:
         others = F.greatest(x["e"] - whole, F.lit(0.0))
@@ -323,7 +325,7 @@ def truncated(df: DataFrame, doc_id: str, text: str, lang: str, source: str, pri
         return docs.select(F.col("doc_id").alias(doc_id), F.col("source").alias(source), "kind", F.lit(None).cast("double").alias("p"))
     texts = units
     for c in ("n_chars", "n_bytes"):
-        texts = texts.join(limits(units, c, limit_texts).withColumnRenamed("same", f"same_{c}"), ["source", c], "left")
+        texts = texts.join(scratch.put(limits(units, c, limit_texts).withColumnRenamed("same", f"same_{c}"))[0], ["source", c], "left")
     # A mark of omission with a blank before it is an added one where texts of that length abound.
     at_limit = F.coalesce("same_n_chars", "same_n_bytes").isNotNull()
     depth = F.floor(F.col("code") / (LAST * SECOND * THIRD * WORDS))

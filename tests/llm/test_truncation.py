@@ -97,3 +97,12 @@ def test_limits_are_the_same_at_every_size(spark, n):
     assert [r.n_chars for r in got.collect()] == [1024]
     narrow = [("s", int(x), k) for k, x in enumerate(rng.integers(1000, 1012, n))]
     assert truncation.limits(spark.createDataFrame(narrow, "source string, n_chars long, text_hash long"), "n_chars").isEmpty()
+
+
+def test_rates_of_contexts_are_written_before_texts_meet_them(spark):
+    """One plan for a whole round took more of the driver's memory than there is."""
+    texts = spark.createDataFrame([(k, "text", k * 64, 0.1, 1) for k in range(4)], "row long, kind string, code long, p double, m long")
+    went_on = truncation.going_on(spark.createDataFrame([("text", k * 64, 50) for k in range(4)], "kind string, code long, n_inside long"))
+    odds = truncation.ending_odds(texts, went_on)
+    plan = odds._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Generate" not in plan and odds.where("ratio > 0").count() == 4
